@@ -77,10 +77,11 @@ def line_dedup(documents: DataFrame, min_lines: int = LINES) -> DataFrame:
                         rows.append((d, th, w["place"], w["digest"], w["is_first"], b"\n".join(lines[x:y])))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 6, [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_(), pa.binary()], strict=True)], names=["doc_id", "th", "place", "digest", "is_first", "raw"])
 
-    texts = C.written(docs.dropDuplicates(["doc_id", "th"]).join(wanted, ["doc_id", "th"]).mapInArrow(fetch, "doc_id long, th long, place int, digest binary, is_first boolean, raw binary"), "bytes")
-    one = texts.where("is_first").select("digest", F.col("raw").alias("first_raw"))
+    # the text side is always shuffled, so the plan at any size is the plan at large sizes
+    texts = C.written(docs.hint("merge").join(wanted, ["doc_id", "th"]).mapInArrow(fetch, "doc_id long, th long, place int, digest binary, is_first boolean, raw binary"), "bytes")
+    one = texts.where("is_first").groupBy("digest").agg(F.min("raw").alias("first_raw"))
     later = texts.where("not is_first").join(one, "digest").where(F.col("raw") == F.col("first_raw"))
-    gone = later.groupBy("doc_id", "th").agg(F.collect_list("place").alias("gone"))
+    gone = later.groupBy("doc_id", "th").agg(F.collect_set("place").alias("gone"))
 
     def finish(batches):
         for b in C.units(batches):
@@ -97,4 +98,4 @@ def line_dedup(documents: DataFrame, min_lines: int = LINES) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), [pa.int64(), pa.int64(), pa.int64(), pa.string()], strict=True)], names=["doc_id", "n_lines", "n_removed", "kept"])
 
     all_rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    return all_rows.join(C.written(gone, "gone"), ["doc_id", "th"], "left").select("doc_id", "text", "gone").mapInArrow(finish, "doc_id long, n_lines long, n_removed long, kept string")
+    return all_rows.hint("merge").join(C.written(gone, "gone"), ["doc_id", "th"], "left").select("doc_id", "text", "gone").mapInArrow(finish, "doc_id long, n_lines long, n_removed long, kept string")
