@@ -24,6 +24,8 @@ U64 = np.uint64
 SLOTS, SLICES = 1 << 21, 64
 #: A shingle that joins more groups than this is joined as a star first.
 STAR = 6
+#: Least and most bits of a set's parity map, which has about two per shingle.
+PARITY = (512, 1 << 17)
 
 
 class Shingles:
@@ -54,6 +56,12 @@ class Shingles:
         self.n = np.bincount(self.d, minlength=len(counts))
         self.first = np.concatenate(([0], np.cumsum(self.n)))
 
+    def parity(self, i: int) -> bytes:
+        """Per bit, how often a shingle of set i falls on it, modulo two. Folding halves gives the map of half the size."""
+        bits = min(max(1 << int(2 * self.n[i] - 1).bit_length(), PARITY[0]), PARITY[1])
+        at = (C.mix(self.h[self.first[i] : self.first[i + 1]] ^ C.M2) & U64(bits - 1)).astype(np.int64)
+        return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
     def signatures(self) -> list[bytes]:
         """128 bits of each set."""
         a, b = np.zeros(len(self.n), U64), np.zeros(len(self.n), U64)
@@ -101,7 +109,7 @@ def _frequencies(sketched: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int, counts) -> DataFrame:
-    """(doc_id, n, sig, prefix): the rarest n - ceil(percent * n / 100) + 1 shingles of each set."""
+    """(doc_id, n, sig, prefix, bits): the rarest n - ceil(percent * n / 100) + 1 shingles of each set, and its parity map."""
 
     def run(batches):
         freq = counts.value
@@ -113,10 +121,10 @@ def _prefixes(docs: DataFrame, size: int, percent: int, counts) -> DataFrame:
             ids, sig, rows = b.column("doc_id").to_pylist(), s.signatures(), []
             for i in np.flatnonzero(s.n).tolist():
                 p = h[s.first[i] : s.first[i] + keep[i]]
-                rows.append((ids[i], int(s.n[i]), sig[i], p.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 4, [pa.int64(), pa.int64(), pa.binary(), pa.binary()], strict=True)], names=["doc_id", "n", "sig", "prefix"])
+                rows.append((ids[i], int(s.n[i]), sig[i], p.tobytes(), s.parity(i)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()], strict=True)], names=["doc_id", "n", "sig", "prefix", "bits"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, sig binary, prefix binary")
+    return docs.mapInArrow(run, "doc_id long, n long, sig binary, prefix binary, bits binary")
 
 
 def _group_pairs(groups: DataFrame, percent: int) -> DataFrame:
@@ -179,6 +187,85 @@ def _group_pairs(groups: DataFrame, percent: int) -> DataFrame:
     return W.exchange(groups.mapInArrow(ask, W.BLOCK), settle, "run long, a long, b long")
 
 
+def _folded(m: bytes, size: int) -> np.ndarray:
+    x = np.frombuffer(m, U64)
+    while len(x) > size:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x
+
+
+def _may_link(apart, n, percent: int):
+    """False only where parity maps differ in more bits (apart) than sets of n shingles together can, if they link.
+
+    Two maps differ in no more bits than the sets in shingles.
+    """
+    return apart * (100 + percent) <= (100 - percent) * n
+
+
+def _pruned(pairs: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their sizes and parity maps allow."""
+
+    def run(batches):
+        for b in batches:
+            apart = []
+            for x, y in zip(b.column("xa").to_pylist(), b.column("xb").to_pylist(), strict=True):
+                size = min(len(x), len(y)) // 8
+                apart.append(int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum()))
+            ok = _may_link(np.array(apart, np.int64), b.column("na").to_numpy() + b.column("nb").to_numpy(), percent)
+            yield b.select(["a", "b"]).filter(pa.array(ok))
+
+    side = lambda s: own.select(F.col("rep").alias(s), F.col("n").alias(f"n{s}"), F.col("bits").alias(f"x{s}"))
+    near = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    return pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").where(near).select("a", "b", "na", "nb", "xa", "xb").mapInArrow(run, "a long, b long")
+
+
+def _unconnected_pairs(rest: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs within a run of different components that sizes and parity maps allow.
+
+    rest: run, rep, c, n, bits. A run's maps are compared in blocks; only pairs that may link become rows.
+    """
+
+    def settle(batches):
+        for held in _whole_runs(batches):
+            rep, c, n = (held.column(x).to_numpy() for x in ("rep", "c", "n"))
+            o = np.argsort(n, kind="stable")
+            rep, c, n = rep[o], c[o], n[o]
+            maps = held.column("bits").to_pylist()
+            maps = [maps[k] for k in o]
+            j = 0
+            while j < len(n):
+                i = j  # a block of sets of nearly the same size
+                j = min(i + 64, int(np.searchsorted(n, n[i] * 1.2, "right")))
+                last = int(np.searchsorted(n, n[j - 1] * 100 // percent, "right"))
+                x = np.stack([_folded(m, len(maps[i]) // 8) for m in maps[i:last]])
+                own, other = np.arange(i, j)[:, None], np.arange(i, last)[None]
+                apart = np.zeros((j - i, last - i), np.int64)
+                for k in range(x.shape[1]):
+                    apart += np.bitwise_count(x[: j - i, k, None] ^ x[None, :, k])
+                ok = _may_link(apart, n[i:j, None] + n[None, i:last], percent) & (own < other) & (c[i:j, None] != c[None, i:last])
+                u, v = np.nonzero(ok)
+                u, v = rep[i + u], rep[i + v]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["a", "b"])
+
+    return rest.repartition("run").sortWithinPartitions("run").mapInArrow(settle, "a long, b long")
+
+
+def _whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches sorted by run, as one table per run."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        run = b.column("run").to_numpy()
+        st = C.runs(run)
+        for i, s in enumerate(st):
+            part = b.slice(int(s), int(st[i + 1] if i + 1 < len(st) else len(run)) - int(s))
+            if held and held[0].column("run")[0] != part.column("run")[0]:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(part)
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def _sets(docs: DataFrame, size: int) -> DataFrame:
     def run(batches):
         for b in C.units(batches):
@@ -204,8 +291,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
                 keep.append(100 * common >= percent * (len(both) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    one = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("sa")), "a")
-    two = one.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("sb")), "b")
+    one = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("sa")).hint("merge"), "a")
+    two = one.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("sb")).hint("merge"), "b")
     return two.select("a", "b", "sa", "sb").mapInArrow(test, "a long, b long")
 
 
@@ -224,21 +311,21 @@ def ngram_join(documents: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     rows = sketched.where("slice < 0").select("doc_id", "n", "sig")
     classes = C.written(rows.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
     # one row per class, then one per group of classes with the same prefix and size
-    own = _prefixes(docs, size, percent, counts).groupBy("sig").agg(F.min(F.struct("doc_id", "n", "prefix")).alias("r")).select(F.col("r.doc_id").alias("rep"), "r.n", "r.prefix")
+    own = _prefixes(docs, size, percent, counts).groupBy("sig").agg(F.min(F.struct("doc_id", "n", "prefix", "bits")).alias("r")).select(F.col("r.doc_id").alias("rep"), "r.n", "r.prefix", "r.bits")
     own = C.written(own, "prefixes")
     members = own.select("rep", F.md5(F.concat(F.col("prefix"), F.encode(F.col("n").cast("string"), "UTF-8"))).alias("g"))
     leaders = members.groupBy("g").agg(F.min("rep").alias("gid"), F.count("*").alias("size"))
     members = C.written(members.join(leaders, "g").select("gid", "rep", "size"), "members")
-    groups = own.join(members.where("gid = rep").select(F.col("gid").alias("rep")), "rep", "left_semi").select(F.col("rep").alias("gid"), "n", "prefix")
+    groups = own.hint("merge").join(members.where("gid = rep").select(F.col("gid").alias("rep")), "rep", "left_semi").select(F.col("rep").alias("gid"), "n", "prefix")
     found = C.written(_group_pairs(groups, percent), "found")
     pairs = found.where("b is not null").select("a", "b").distinct()
     inner = members.where("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
-    first = C.written(_verified(pairs.union(inner).distinct(), docs, size, percent), "links")
+    first = C.written(_verified(_pruned(pairs.union(inner).distinct(), own, percent), docs, size, percent), "links")
     parts = C.written(C.connected_components(first, "a", "b"), "parts")
     # second round: pairs of members that share a run or a group and are not connected yet
     labelled = members.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("gid", "rep", F.coalesce("component", "rep").alias("c"))
     sizes = own.select("rep", "n")
-    labelled = labelled.join(sizes, "rep")
+    labelled = labelled.join(sizes.hint("merge"), "rep")
     long = found.where("b is null").select("run", F.col("a").alias("gid")).distinct()
     crowd = F.col("gid") * 0 - 1 - F.col("gid")  # a group is a run of its own
     within = labelled.join(members.where("size > 1").select("rep"), "rep", "left_semi").select(crowd.alias("run"), "gid", "rep", "c", "n")
@@ -249,10 +336,8 @@ def ngram_join(documents: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     placed = placed.unionByName(open_pairs.join(crowded, "run", "left_semi").select("run", "gid").join(labelled, "gid").select("run", "gid", "rep", "c", "n"))
     placed = C.written(placed, "placed")
     split = placed.groupBy("run").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("run")
-    rest = placed.join(split, "run", "left_semi")
-    l, r = (rest.select("run", F.col("rep").alias(s), F.col("c").alias(f"c{s}"), F.col("n").alias(f"n{s}")) for s in ("a", "b"))
-    more = l.join(r, "run").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
-    more = more.select("a", "b").distinct().join(pairs.union(inner), ["a", "b"], "left_anti")
+    rest = placed.join(split, "run", "left_semi").select("run", "rep", "c", "n").join(own.select("rep", "bits").hint("merge"), "rep")
+    more = _unconnected_pairs(rest, percent).distinct().join(pairs.union(inner), ["a", "b"], "left_anti")
     second = _verified(more, docs, size, percent)
     links = first.union(second)
     parts = C.connected_components(C.written(links, "links"), "a", "b").withColumnRenamed("node", "rep")
