@@ -24,7 +24,7 @@ PREFIXES = (4, 5, 6)
 #: Words of a chain; longer documents are several chains.
 CHAIN = 64
 #: Sampled training documents that are clean and toxic, and the longest text (in characters) that is sampled.
-SAMPLE, LONGEST = (2400, 1200), 20_000
+SAMPLE, LONGEST = (2000, 1000), 8_000
 THRESHOLD = 0.7
 #: A feature marks words if it is in this many toxic documents, or this share of them, and so many times likelier there.
 _EPOCHS, _MIN_DOCS, _MIN_SHARE, _ODDS = 30, 6, 0.015, 40.0
@@ -145,6 +145,7 @@ def fit(texts: list[str], toxic: np.ndarray) -> Field:
     pair = np.unique((docs[flat >= 0].astype(np.int64) << 32) | flat[flat >= 0])
     bad = toxic[pair >> 32] == 1
     in_toxic, in_clean = (np.bincount((pair & 0xFFFFFFFF)[k], minlength=SLOTS) for k in (bad, ~bad))
+    del pair, docs
     n1, n0 = max(1, int((toxic == 1).sum())), max(1, int((toxic == 0).sum()))
     marks = (in_toxic >= max(_MIN_DOCS, _MIN_SHARE * n1)) & (in_toxic / n1 >= _ODDS * (in_clean + 0.1) / n0)
     y = np.append(marks, False)[w.slots].any(1) & (toxic[w.doc] == 1)
