@@ -99,19 +99,22 @@ def test_suffix_dedup(docs, n):
             assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id]
 
 
-def test_merged_transforms_give_the_suffix_order():
+@pytest.mark.parametrize("kind", [np.uint8, np.uint16])
+@pytest.mark.parametrize("depth", [3, 8, 13])
+def test_merged_transforms_give_the_suffix_order(kind, depth):
     rng = np.random.default_rng(0)
-    pieces = [bytes(rng.integers(0, 3, rng.integers(1, 30), dtype=np.uint8)) for _ in range(40)]
-    text = np.concatenate([np.concatenate((np.frombuffer(p, np.uint8) + 1, [0])) for p in pieces]).astype(np.uint8)
+    pieces = [bytes(rng.integers(0, 2, rng.integers(1, 40), dtype=np.uint8)) for _ in range(60)]
+    text = np.concatenate([np.concatenate((np.frombuffer(p, np.uint8) + 1, [0])) for p in pieces]).astype(kind)
     for shard in (20, 100, 10_000):
-        place, block, lcp = suffix_dedup.repeated_intervals(text, 8, shard)
+        place, block, lcp = suffix_dedup.repeated_intervals(text, depth, shard)
         assert sorted(place.tolist()) == list(range(len(text)))
-        tail = [bytes(text[p : p + 8].tolist()).split(b"\0")[0] for p in place]
+        tail = [bytes(text[p : p + depth].astype(np.uint8).tolist()).split(b"\0")[0] for p in place]
         assert tail == sorted(tail)
         for i in range(1, len(place)):
-            same = tail[i] == tail[i - 1] and len(tail[i]) == 8
+            same = tail[i] == tail[i - 1] and len(tail[i]) == depth
             assert same == (block[i] == block[i - 1])
-            assert (lcp[i] == 8) == same
+            common = next((k for k, (x, y) in enumerate(zip(tail[i], tail[i - 1])) if x != y), min(len(tail[i]), len(tail[i - 1])))
+            assert lcp[i] == common
 
 
 @pytest.mark.parametrize(("size", "percent"), [(4, 85), (2, 50), (5, 80)])
