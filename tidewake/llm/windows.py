@@ -136,13 +136,13 @@ def exchange(blocks: DataFrame, reduce: Callable[[Iterator[pa.RecordBatch]], Ite
     return blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(reduce, schema)
 
 
-def repeated_anchors(docs: DataFrame, kind: str, n: int, k: int, lower: bool = False) -> DataFrame:
+def repeated_anchors(docs: DataFrame, kind: str, n: int, k: int, lower: bool = False, per_partition: int = 8) -> DataFrame:
     """(doc_id, payload): per document, places of anchors that also occur in a different text.
 
     docs: doc_id, th (a hash of the text), text. Only 32 bits of a seed's hash are compared beside its bucket, so a
     few places may be reported that do not repeat; none that does is missed.
     """
-    buckets = C.partitions(docs.sparkSession) * 8
+    buckets = C.partitions(docs.sparkSession) * per_partition
 
     def ask(batches):
         for b in C.units(batches):
