@@ -21,6 +21,8 @@ from tidewake.llm import common as C
 
 U64 = np.uint64
 ASK, KNOWN = 0, 1
+#: Positions hashed at once, so that the arrays between stay in a core's cache.
+STRIP = 1 << 14
 _INDEX_BITS = U64(32)
 BLOCK = "bucket int, kind int, payload binary"
 FOUND = "doc_id long, payload binary"
@@ -61,26 +63,29 @@ class Elements:
         n = len(self.e) - k + 1
         if n <= 0:
             return np.zeros(0, U64)
-        x = self.e.astype(U64)
-        p2 = x[:-1] | x[1:] << U64(8)
-        p4 = p2[:-2] | p2[2:] << U64(16)
-        p8 = p4[:-4] | p4[4:] << U64(32)
-        h = np.zeros(n, U64)
-        at = 0
-        while at + 8 <= k:
-            h = C.mix(h * C.PRIME + p8[at : at + n])
-            at += 8
-        if at < k:  # the last eight overlap
-            h = C.mix(h * C.PRIME + p8[k - 8 : k - 8 + n])
-        return h
+        out = np.empty(n, U64)
+        for a in range(0, n, STRIP):
+            b = min(a + STRIP, n)
+            x = self.e[a : b + k - 1].astype(U64)
+            p2 = x[:-1] | x[1:] << U64(8)
+            p4 = p2[:-2] | p2[2:] << U64(16)
+            p8 = p4[:-4] | p4[4:] << U64(32)
+            h = np.zeros(b - a, U64)
+            for at in [*range(0, k - 7, 8), *([k - 8] if k % 8 else [])]:  # the last eight may overlap
+                h = C.mix(h * C.PRIME + p8[at : at + b - a])
+            out[a:b] = h
+        return out
 
     def anchors(self, n: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(window starts, anchor of each window, seed hashes); ties go to the leftmost seed of the window."""
         s = self.seeds(k)
         if len(self.e) < n:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), s
-        key = s & ~U64(0xFFFFFFFF) | np.arange(len(s), dtype=U64)
-        at = (C.sliding_min(key, n - k + 1) & U64(0xFFFFFFFF)).astype(np.int64)
+        at = np.empty(len(self.e) - n + 1, np.int64)
+        for a in range(0, len(at), STRIP):
+            part = s[a : a + STRIP + n - k]
+            key = part & ~U64(0xFFFFFFFF) | np.arange(a, a + len(part), dtype=U64)
+            at[a : a + STRIP] = C.sliding_min(key, n - k + 1) & U64(0xFFFFFFFF)
         ok = self.doc[: len(at)] == self.doc[n - 1 : n - 1 + len(at)]
         w = np.flatnonzero(ok)
         return w, at[w], s
