@@ -367,3 +367,17 @@ def test_empty_tables(empty, run):
 def test_empty_embeddings_and_benchmark(spark, docs):
     assert embedding_join(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
     assert decontamination.decontaminate(docs, spark.createDataFrame([], "item_id long, text string")).count() == 0
+
+
+def test_blocks_in_several_groups(monkeypatch):
+    from tidewake.llm import token_codec as tc
+
+    rng = np.random.default_rng(5)
+    for n in (0, 1, tc.BLOCK, 3 * tc.BLOCK, 7 * tc.BLOCK + 5):
+        ids = np.where(rng.random(n) < 0.5, rng.integers(0, 50, n), rng.integers(0, 1 << 16, n)).astype(np.uint32)
+        whole = tc.encode_blocks(ids)
+        monkeypatch.setattr(tc, "LANES", 3)
+        cut = tc.encode_blocks(ids)
+        assert all(np.array_equal(a, b) for a, b in zip(whole, cut, strict=True))
+        assert np.array_equal(tc.decode_blocks(n, *cut), ids)
+        monkeypatch.undo()

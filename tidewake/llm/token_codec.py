@@ -26,15 +26,33 @@ from tidewake.llm import tokens
 U64 = np.uint64
 BLOCK = 2048
 CHUNK = 6 << 20
-MAGIC = b"TWCM0001"
+#: Most blocks that are coded in step; a chunk has about as many, more where its last document is long.
+LANES = 3072
+MAGIC = b"TWCM0002"
 _T1, _T2 = 1024, 2048
 _BITS = 12
 _LOW32, _TOP = U64(0xFFFFFFFF), U64(1) << U64(32)
 ENCODED = "shard int, chunk int, start long, n_tokens long, payload binary"
 
 
+def _fields(*f: int) -> np.uint64:
+    """Four numbers below 65536 as the 16-bit fields of a word, the first lowest."""
+    return U64(sum(x << 16 * i for i, x in enumerate(f)))
+
+
+_FIELD, _PREFIX, _FOUR = U64(0xFFFF), _fields(1, 1, 1, 1), U64(4)
+#: An order's count moves by a part of 16 or 32 to the order that came true; the steps keep each count at 32 or more and their sum at 4096 or less.
+_FAST = np.array([_fields(*(2 + 244 * (i == o) for i in range(4))) for o in range(4)])
+_SLOW = np.array([_fields(*(1 + 120 * (i == o) for i in range(4))) for o in range(4)])
+_KEEP12, _KEEP11 = _fields(*[0xFFF] * 4), _fields(*[0x7FF] * 4)
+_START = _fields(1024, 1024, 1024, 1024)
+#: Bits sent after each order, and their mask.
+_SHIFT = np.array([0, 0, 8, 16], U64)
+_MASK = (U64(1) << _SHIFT) - U64(1)
+
+
 class _Model:
-    """Predictions and mixed probabilities of all lanes."""
+    """Predictions and mixed counts of all lanes; the counts of orders 2, 1, 0 and none are the fields of one word."""
 
     def __init__(self, lanes: int):
         i = np.arange(lanes, dtype=np.int64)
@@ -42,62 +60,51 @@ class _Model:
         self.t1 = np.zeros(lanes * _T1, np.uint16)
         self.t2 = np.zeros(lanes * _T2, np.uint16)
         self.o0, self.o1, self.o2 = i * 256, i * _T1, i * _T2
-        start = np.array([1 << 10, 2 << 10, 3 << 10], np.int32)
-        self.a = np.tile(start, (lanes * 8, 1))
-        self.b = np.tile(start, (lanes * 16, 1))
+        self.a = np.full(lanes * 8, _START)
+        self.b = np.full(lanes * 16, _START)
         self.oa, self.ob = i * 8, i * 16
-        self.w = np.full(lanes, 8, np.int32)
-        self.p1, self.p2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.last, self.before = np.full(lanes, 3, np.int64), np.full(lanes, 3, np.int64)
+        self.w = np.full(lanes, 8, np.int64)
+        self.p1, self.far = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.last, self.both = np.full(lanes, 3, np.int64), np.full(lanes, 15, np.int64)
 
     def shrink(self, n: int) -> None:
         """Only the first n lanes go on."""
-        for k in ("o0", "o1", "o2", "oa", "ob", "w", "p1", "p2", "last", "before"):
+        for k in ("o0", "o1", "o2", "oa", "ob", "w", "p1", "far", "last", "both"):
             setattr(self, k, getattr(self, k)[:n])
 
     def predict(self) -> np.ndarray:
-        """Bounds [0, c1, c2, c3, 4096] per lane; sets the ids predicted by orders 2 and 1."""
-        self.i1 = self.o1 + (self.p1 & (_T1 - 1))
-        self.i2 = self.o2 + ((self.p1 * 0x9E5 + self.p2 * 0x3D4D51) >> 7 & (_T2 - 1))
-        self.q1, self.q2 = self.t1[self.i1], self.t2[self.i2]
-        self.ia = self.oa + (self.last << 1) + (self.q1 == self.q2)
-        self.ib = self.ob + (self.last << 2) + self.before
-        self.ca, self.cb = self.a[self.ia], self.b[self.ib]
-        w = self.w[:, None]
-        self.c = (self.ca * w + self.cb * (16 - w)) >> 4
-        return self.c
-
-    def outcome(self, ids: np.ndarray) -> np.ndarray:
-        self.i0 = self.o0 + (ids & 255)
-        return np.where(ids == self.q2, 0, np.where(ids == self.q1, 1, np.where(ids == self.t0[self.i0], 2, 3)))
-
-    def update(self, ids: np.ndarray, out: np.ndarray) -> None:
-        below = out[:, None] < _J
-        target = np.where(below, _HIGH, _LEAST)
-        da, db = target - self.ca, target - self.cb
-        better = np.abs(db).sum(1) - np.abs(da).sum(1)
-        self.w = np.clip(self.w + np.sign(better), 1, 15)
-        self.a[self.ia] = self.ca + (da >> 4)
-        self.b[self.ib] = self.cb + (db >> 5)
-        v = ids.astype(np.uint16)
-        self.t0[self.i0], self.t1[self.i1], self.t2[self.i2] = v, v, v
-        self.p2, self.p1 = self.p1, ids
-        self.before, self.last = self.last, out
-
-
-_J = np.array([1, 2, 3])
-_LEAST = (_J * 32).astype(np.int32)
-_HIGH = (4096 - (4 - _J) * 32).astype(np.int32)
-_SHIFT = np.array([0, 0, 8, 16], U64)
-
-
-def _bounds(c: np.ndarray, out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    lane = np.arange(len(out))
-    full = np.empty((len(out), 5), np.int32)
-    full[:, 0], full[:, 4] = 0, 1 << _BITS
-    full[:, 1:4] = c
-    low = full[lane, out]
-    return low.astype(U64), (full[lane, out + 1] - low).astype(U64)
+        """Mixed counts per lane; sets the ids predicted by orders 2 and 1."""
+        self.i1 = (self.p1 & (_T1 - 1)) + self.o1
+        near = self.p1 * 0x9E5
+        self.i2 = ((near + self.far) >> 7 & (_T2 - 1)) + self.o2
+        self.q1, self.q2 = self.t1.take(self.i1, mode="clip"), self.t2.take(self.i2, mode="clip")
+        self.ia = (self.last << 1) + self.oa + (self.q1 == self.q2)
+        self.ib = self.both + self.ob
+        self.ca, self.cb = self.a.take(self.ia, mode="clip"), self.b.take(self.ib, mode="clip")
+        w = self.w.view(U64)
+        return (self.ca * w + self.cb * (U64(16) - w)) >> _FOUR & _KEEP12
+
+    def outcome(self, ids: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """The first order that is right; v: the ids in 16 bits."""
+        self.i0 = (ids & 255) + self.o0
+        out = 3 - (v == self.t0.take(self.i0, mode="clip")).astype(np.int64)
+        out[v == self.q1] = 1
+        out[v == self.q2] = 0
+        return out
+
+    def update(self, ids: np.ndarray, v: np.ndarray, out: np.ndarray, at: np.ndarray) -> None:
+        """at: the shift of the field of ``out``."""
+        ca, cb = self.ca, self.cb
+        fa, fb = ca >> at & _FIELD, cb >> at & _FIELD
+        w = self.w + (fa > fb) - (fb > fa)
+        self.w = np.minimum(np.maximum(w, 1), 15)
+        self.a[self.ia] = ca - (ca >> _FOUR & _KEEP12) + _FAST.take(out, mode="clip")
+        self.b[self.ib] = cb - (cb >> U64(5) & _KEEP11) + _SLOW.take(out, mode="clip")
+        self.t0[self.i0] = v
+        self.t1[self.i1] = v
+        self.t2[self.i2] = v
+        self.far, self.p1 = self.p1 * 0x3D4D51, ids
+        self.both, self.last = (out << 2) + self.last, out
 
 
 def _lanes(n: int) -> np.ndarray:
@@ -105,102 +112,135 @@ def _lanes(n: int) -> np.ndarray:
     return np.full(-(-n // BLOCK), BLOCK) if n % BLOCK == 0 else np.concatenate((np.full(n // BLOCK, BLOCK), [n % BLOCK]))
 
 
+def _groups(n: int) -> list[tuple[int, int]]:
+    """Ranges of blocks that are coded in step, so that memory does not grow with a chunk."""
+    return [(x, min(x + LANES, n)) for x in range(0, n, LANES)]
+
+
 def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words per block, checksum per block, all 32-bit words) of ids below 65536."""
     sizes = _lanes(len(ids))
+    crc = np.array([zlib.crc32(ids[i * BLOCK : i * BLOCK + n].astype("<u2").tobytes()) for i, n in enumerate(sizes)], np.uint32)
+    parts = [_encode(ids[x * BLOCK : y * BLOCK], sizes[x:y]) for x, y in _groups(len(sizes))]
+    used, words = zip(*parts, strict=True) if parts else ([], [])
+    return np.concatenate([np.zeros(0, np.uint32), *used]), crc, np.concatenate([np.zeros(0, np.uint32), *words])
+
+
+def _encode(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words per block, all words) of the blocks of one group."""
     lanes = len(sizes)
     grid = np.zeros((lanes, BLOCK), np.int64)
     grid.ravel()[: len(ids)] = ids
     steps = np.ascontiguousarray(grid.T)
-    crc = np.array([zlib.crc32(ids[i * BLOCK : i * BLOCK + n].astype("<u2").tobytes()) for i, n in enumerate(sizes)], np.uint32)
+    short = steps.astype(np.uint16)
     m = _Model(lanes)
-    low, rng = np.zeros(lanes, U64), np.full(lanes, 2**64 - 1, U64)
-    words, used = np.zeros((lanes, BLOCK + 8), np.uint32), np.zeros(lanes, np.int64)
+    lo, rg = np.zeros(lanes, U64), np.full(lanes, 2**64 - 1, U64)
+    low = np.zeros(lanes, U64)
+    width = BLOCK + 8
+    words, used = np.zeros((lanes, width), np.uint32), np.zeros(lanes, np.int64)
+    flat, row = words.ravel(), np.arange(lanes) * width
     n = lanes
-    for t in range(int(sizes[0]) if lanes else 0):
+    for t in range(int(sizes[0])):
         if t == sizes[-1] and lanes > 1:  # the short last block has ended
             n = lanes - 1
+            low[n] = lo[n]
+            lo, rg = lo[:n], rg[:n]
             m.shrink(n)
-        x = steps[t, :n]
+        x, v = steps[t, :n], short[t, :n]
         c = m.predict()
-        out = m.outcome(x)
-        start, freq = _bounds(c, out)
-        r = rng[:n] >> U64(_BITS)
-        lo, rg = low[:n] + start * r, r * freq
-        s = _SHIFT[out]
-        r = rg >> s
-        lo += (x.astype(U64) & ((U64(1) << s) - U64(1))) * r
-        rg = r
-        m.update(x, out)
+        out = m.outcome(x, v)
+        at = (out << 4).view(U64)
+        r = rg >> U64(_BITS)
+        lo = lo + ((c * _PREFIX << U64(16)) >> at & _FIELD) * r
+        rg = r * (c >> at & _FIELD) >> _SHIFT.take(out, mode="clip")
+        lo += (x.view(U64) & _MASK.take(out, mode="clip")) * rg
+        m.update(x, v, out, at)
         k = np.flatnonzero(rg < _TOP)
         while len(k):
-            a, g = lo[k], rg[k]
-            split = (a >> U64(32)) != ((a + (g - U64(1))) >> U64(32))
-            g = np.where(split, _TOP - (a & _LOW32), g)
-            words[k, used[k]] = a >> U64(32)
-            used[k] += 1
-            lo[k], rg[k] = a << U64(32), g << U64(32)
-            k = k[rg[k] < _TOP]
-            if len(k) and used[k].max() + 4 > words.shape[1]:
+            a, g = lo.take(k, mode="clip"), rg.take(k, mode="clip")
+            top = a >> U64(32)
+            split = top != (a + (g - U64(1))) >> U64(32)
+            if split.any():
+                g = np.where(split, _TOP - (a & _LOW32), g)
+            place = used.take(k, mode="clip")
+            flat[row.take(k, mode="clip") + place] = top
+            used[k] = place + 1
+            g = g << U64(32)
+            lo[k], rg[k] = a << U64(32), g
+            k = k[g < _TOP]
+            if int(place.max()) + 6 > width:
                 words = np.concatenate((words, np.zeros((lanes, BLOCK // 4), np.uint32)), 1)
-        low[:n], rng[:n] = lo, rg
-        if n and used[:n].max() + 4 > words.shape[1]:
-            words = np.concatenate((words, np.zeros((lanes, BLOCK // 4), np.uint32)), 1)
+                width = words.shape[1]
+                flat, row = words.ravel(), np.arange(lanes) * width
+    low[:n] = lo
     lane = np.arange(lanes)
     words[lane, used] = (low >> U64(32)).astype(np.uint32)
     words[lane, used + 1] = (low & _LOW32).astype(np.uint32)
     used += 2
-    return used.astype(np.uint32), crc, words[np.arange(words.shape[1]) < used[:, None]]
+    return used.astype(np.uint32), words[np.arange(width) < used[:, None]]
 
 
 def decode_blocks(n: int, used: np.ndarray, crc: np.ndarray, words: np.ndarray) -> np.ndarray:
     """The ids; ValueError if a block's checksum does not hold."""
     sizes = _lanes(n)
+    at = np.concatenate(([0], np.cumsum(used.astype(np.int64))))
+    parts = [_decode(sizes[x:y], at[x:y] - at[x], words[at[x] : at[y]]) for x, y in _groups(len(sizes))]
+    ids = np.concatenate([np.zeros(0, np.uint16), *parts])
+    for i, size in enumerate(sizes):
+        if zlib.crc32(ids[i * BLOCK : i * BLOCK + size].tobytes()) != crc[i]:
+            raise ValueError(f"block {i}: checksum does not hold")
+    return ids.astype(np.uint32)
+
+
+def _decode(sizes: np.ndarray, at: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The ids of the blocks of one group, whose words begin at ``at``."""
     lanes = len(sizes)
-    at = np.concatenate(([0], np.cumsum(used.astype(np.int64))))[:-1]
     words = np.concatenate((words, np.zeros(4, np.uint32))).astype(U64)
     m = _Model(lanes)
-    low, rng = np.zeros(lanes, U64), np.full(lanes, 2**64 - 1, U64)
-    code = words[at] << U64(32) | words[at + 1] if lanes else np.zeros(0, U64)
+    cd, rg = words.take(at, mode="clip") << U64(32) | words.take(at + 1, mode="clip"), np.full(lanes, 2**64 - 1, U64)
+    lo = np.zeros(lanes, U64)
     at = at + 2
-    steps = np.zeros((BLOCK, lanes), np.int64)
+    steps = np.zeros((BLOCK, lanes), np.uint16)
     k = lanes
-    for t in range(int(sizes[0]) if lanes else 0):
+    for t in range(int(sizes[0])):
         if t == sizes[-1] and lanes > 1:
             k = lanes - 1
             m.shrink(k)
+            lo, cd, rg = lo[:k], cd[:k], rg[:k]
         c = m.predict()
-        r = rng[:k] >> U64(_BITS)
-        lo, cd = low[:k], code[:k]
-        out = (((cd - lo)[:, None]) >= c.astype(U64) * r[:, None]).sum(1)
-        start, freq = _bounds(c, out)
-        lo, rg = lo + start * r, r * freq
-        s = _SHIFT[out]
-        r = rg >> s
-        v = (cd - lo) // r
-        np.minimum(v, (U64(1) << s) - U64(1), out=v)
-        lo, rg = lo + v * r, r
-        x = v.astype(np.int64)
-        x = np.where(out == 0, m.q2, np.where(out == 1, m.q1, np.where(out == 2, m.t0[m.o0 + (x & 255)], x)))
-        m.i0 = m.o0 + (x & 255)
+        r = rg >> U64(_BITS)
+        d = cd - lo
+        cum = c * _PREFIX
+        out = (d >= (cum & _FIELD) * r).astype(np.int64)
+        out += d >= (cum >> U64(16) & _FIELD) * r
+        out += d >= (cum >> U64(32) & _FIELD) * r
+        shift = (out << 4).view(U64)
+        lo = lo + ((cum << U64(16)) >> shift & _FIELD) * r
+        rg = r * (c >> shift & _FIELD) >> _SHIFT.take(out, mode="clip")
+        x = np.where(out == 0, m.q2, m.q1)
+        j = np.flatnonzero(out >= 2)
+        g, o, z = rg.take(j, mode="clip"), out.take(j, mode="clip"), lo.take(j, mode="clip")
+        v = np.minimum((cd.take(j, mode="clip") - z) // g, _MASK.take(o, mode="clip"))
+        lo[j] = z + v * g
+        known = m.t0.take(m.o0.take(j, mode="clip") + (v & U64(255)).view(np.int64), mode="clip")
+        x[j] = np.where(o == 2, known, v.astype(np.uint16))
+        ids = x.astype(np.int64)
+        m.i0 = (ids & 255) + m.o0
         steps[t, :k] = x
-        m.update(x, out)
+        m.update(ids, x, out, shift)
         j = np.flatnonzero(rg < _TOP)
         while len(j):
-            a, g = lo[j], rg[j]
-            split = (a >> U64(32)) != ((a + (g - U64(1))) >> U64(32))
-            g = np.where(split, _TOP - (a & _LOW32), g)
-            cd = cd.copy() if cd.base is not None else cd
-            cd[j] = cd[j] << U64(32) | words[np.minimum(at[j], len(words) - 1)]
-            at[j] += 1
-            lo[j], rg[j] = a << U64(32), g << U64(32)
-            j = j[rg[j] < _TOP]
-        low[:k], rng[:k], code[:k] = lo, rg, cd
-    ids = np.ascontiguousarray(steps.T).ravel()[: n if n % BLOCK == 0 else len(sizes) * BLOCK][:n].astype(np.uint32)
-    for i, size in enumerate(sizes):
-        if zlib.crc32(ids[i * BLOCK : i * BLOCK + size].astype("<u2").tobytes()) != crc[i]:
-            raise ValueError(f"block {i}: checksum does not hold")
-    return ids
+            a, g = lo.take(j, mode="clip"), rg.take(j, mode="clip")
+            split = a >> U64(32) != (a + (g - U64(1))) >> U64(32)
+            if split.any():
+                g = np.where(split, _TOP - (a & _LOW32), g)
+            place = at.take(j, mode="clip")
+            cd[j] = cd.take(j, mode="clip") << U64(32) | words.take(place, mode="clip")
+            at[j] = place + 1
+            g = g << U64(32)
+            lo[j], rg[j] = a << U64(32), g
+            j = j[g < _TOP]
+    return np.ascontiguousarray(steps.T).ravel()[: int(sizes.sum())]
 
 
 def encode_chunk(docs: np.ndarray, known: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
