@@ -99,6 +99,16 @@ def test_suffix_dedup(docs, n):
             assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id]
 
 
+@pytest.mark.parametrize("run", [substring_dedup, suffix_dedup.suffix_dedup])
+def test_passage_first_in_a_text_whose_copy_is_beside_the_sharer(spark, run):
+    passage = sentence(201, 40)
+    first, sharer = f"{sentence(202, 30)} {passage}", f"{sentence(203, 20)} {passage}"
+    df = spark.createDataFrame(spark.sparkContext.parallelize([(1, first), (100, first), (101, sharer)], 2), "doc_id long, text string")
+    assert [len(p) for p in df.rdd.glom().collect()] == [1, 2]
+    kept = {r.doc_id: bytes(r.kept).decode() if isinstance(r.kept, (bytes, bytearray)) else r.kept for r in run(df).collect()}
+    assert kept[1] == first and kept[100] == "" and kept[101].strip() == sentence(203, 20)
+
+
 @pytest.mark.parametrize("kind", [np.uint8, np.uint16])
 @pytest.mark.parametrize("depth", [3, 8, 13])
 def test_merged_transforms_give_the_suffix_order(kind, depth):

@@ -5,7 +5,7 @@ with the least hash. Equal windows have equal anchors, so a window can repeat on
 Round one therefore asks about anchors only, a few per cent of the positions; round two asks about windows
 whose anchor repeats in another text. A map task sends, per bucket of hashes, one binary block of
 columns; within a unit of documents what is known locally is settled there, so a passage that a third of
-all documents share costs one entry per unit, not per document.
+all documents share costs two entries per unit, not one per document.
 """
 
 from __future__ import annotations
@@ -160,16 +160,19 @@ def repeated_anchors(docs: DataFrame, kind: str, n: int, k: int, lower: bool = F
                 continue
             d, pos, h = el.doc[at], at - el.first[el.doc[at]], s[at]
             o = np.argsort(h, kind="stable")
-            hs, ts = h[o], th[d[o]]
-            st = C.runs(hs)
-            g = C.group_ids(st, len(hs))
-            several = (np.minimum.reduceat(ts, st) != np.maximum.reduceat(ts, st))[g]
+            ts, st = th[d[o]], C.runs(h[o])
+            g = C.group_ids(st, len(o))
+            # the first entry of a second text, per hash that the unit knows to repeat
+            other = np.flatnonzero(ts != ts[st][g])
+            other = other[C.runs(g[other])]
+            several = np.zeros(len(st), bool)
+            several[g[other]] = True
             known = np.zeros(len(h), bool)
-            known[o] = several
+            known[o] = several[g]
             rows = list(doc_blocks(ids[d[known]], pos[known], buckets))
-            # a hash that the unit knows to repeat still tells others, by one entry
+            # such a hash still tells others, by entries of two different texts: one may be the only text of another unit
             tell = ~known
-            tell[o[st[several[st]]]] = True
+            tell[o[st[several]]] = tell[o[other]] = True
             d, pos, h = d[tell], pos[tell], h[tell]
 
             def columns(r, d=d, pos=pos, h=h, ids=ids, th=th):
