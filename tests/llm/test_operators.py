@@ -300,6 +300,16 @@ def test_decontaminate(spark):
     assert got[1, 10].score == 1.0 and (got[1, 10].first_word, got[1, 10].end_word) == (50, 90) and 0.5 <= got[2, 10].score < 1
 
 
+def test_edited_copy_leaked_into_many_documents(spark):
+    words = sentence(301, 60).split()
+    # spread edits break the item's own seeds; what is left is in every document
+    edited = " ".join("edited" if i in (8, 20, 32, 44, 55) else w for i, w in enumerate(words))
+    df = spark.createDataFrame([(d, f"{sentence(1000 + d, 20)} {edited} {sentence(2000 + d, 20)}") for d in range(200)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    got = decontamination.decontaminate(df, bench).collect()
+    assert sorted(r.doc_id for r in got) == list(range(200)) and all(r.score > 0.8 for r in got)
+
+
 def test_smith_waterman_against_the_full_table():
     rng = np.random.default_rng(9)
     for _ in range(50):

@@ -1,4 +1,7 @@
-"""Benchmark passages in training texts: rare n-gram seeds find candidates, Smith-Waterman alignment scores them."""
+"""Benchmark passages in training texts: n-gram seeds find candidates, Smith-Waterman alignment scores them.
+
+Every seed of an item is looked up, however common: a passage leaked into very many documents makes its own seeds common.
+"""
 
 from __future__ import annotations
 
@@ -10,8 +13,8 @@ from pyspark.sql import functions as F
 from tidewake.llm import common as C
 
 U64 = np.uint64
-#: Words of a seed; corpus count up to which a seed is rare; seeds that an item keeps in any case, the rarest first.
-SEED, RARE, LEAST_SEEDS = 3, 100, 12
+#: Words of a seed.
+SEED = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 #: Items searched in one pass over the texts, which bounds what is broadcast.
@@ -80,35 +83,13 @@ def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return best, first, end
 
 
-def _seed_counts(docs: DataFrame, seeds: Seeds, k: int) -> np.ndarray:
-    """Documents that hold each seed: one block of counts per task, summed per slice of seeds."""
-    shared = docs.sparkSession.sparkContext.broadcast(seeds)
-
-    def run(batches):
-        s = shared.value
-        count = np.zeros(len(s.h), np.int64)
-        for b in C.units(batches):
-            t = Texts(b.column("text"))
-            h, at = t.seeds(k)
-            i, which = s.find(h)
-            pair = np.unique(which * np.int64(b.num_rows) + t.doc[at[i]])
-            count += np.bincount(pair // b.num_rows, minlength=len(count))
-        hit = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(count[hit])], names=["seed", "n"])
-
-    out = np.zeros(len(seeds.h), np.int64)
-    for r in docs.select("text").mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).toLocalIterator():
-        out[r.seed] = r.n
-    return out
-
-
 def decontaminate(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, k: int = SEED) -> DataFrame:
     """doc_id, item_id, score, first_word, end_word: documents that hold a passage aligned with a benchmark item.
 
     score is the best local alignment over words, divided by that of an exact copy; pairs at ``threshold`` or above are
-    returned with the place of the best one. Items of fewer than ``k`` words, null or empty texts and rows without a
-    doc_id give no pairs; repeated rows or items give one pair each time. A benchmark of any size is searched in blocks
-    of about ITEMS items. Extra columns are ignored.
+    returned with the place of the best one. A pair is looked at if any ``k`` words in a row are equal. Items of fewer
+    than ``k`` words, null or empty texts and rows without a doc_id give no pairs; repeated rows or items give one pair
+    each time. A benchmark of any size is searched in blocks of about ITEMS items. Extra columns are ignored.
     """
     docs = documents.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
@@ -124,27 +105,21 @@ def _searched(docs: DataFrame, items: list, threshold: float, k: int) -> DataFra
     t = Texts(pa.array([r.text for r in items], pa.string()))
     h, at = t.seeds(k)
     seeds = Seeds(h)
-    counts = _seed_counts(docs, seeds, k)
-    # (seed, item, place in item) of the seeds that are used
+    # (seed, item, place in item)
     which, item = np.searchsorted(seeds.h, h), t.doc[at]
-    o = np.lexsort((counts[which], item))
-    rank = np.arange(len(o)) - np.searchsorted(item[o], item[o])
-    use = np.zeros(len(o), bool)
-    use[o] = (counts[which[o]] <= RARE) | (rank < LEAST_SEEDS)
-    which, item, place = which[use], item[use], (at - t.first[t.doc[at]])[use]
+    place = at - t.first[item]
     o = np.argsort(which, kind="stable")
     which, item, place = which[o], item[o], place[o]
-    used = Seeds(seeds.h[which])
-    begin = np.searchsorted(which, np.searchsorted(seeds.h, used.h))
+    begin = C.runs(which)
     size = np.diff(np.concatenate((begin, [len(which)])))
-    shared = docs.sparkSession.sparkContext.broadcast((used, begin, size, item, place, t.h, t.first, [r.item_id for r in items]))
+    shared = docs.sparkSession.sparkContext.broadcast((seeds, begin, size, item, place, t.h, t.first, [r.item_id for r in items]))
 
     def run(batches):
-        used, begin, size, item, place, words, first, ids = shared.value
+        seeds, begin, size, item, place, words, first, ids = shared.value
         for b in C.units(batches):
             x = Texts(b.column("text"))
             h, at = x.seeds(k)
-            i, s = used.find(h)
+            i, s = seeds.find(h)
             rows = []
             if len(i):
                 # every hit once per item that has the seed
@@ -163,13 +138,17 @@ def _searched(docs: DataFrame, items: list, threshold: float, k: int) -> DataFra
                 hi = np.maximum.reduceat(pos - pl + lens + lens // 2, st)
                 docs_ids = b.column("doc_id").to_pylist()
                 best: dict[tuple[int, int], tuple] = {}
+                aligned: dict[tuple[int, bytes], tuple[int, int, int]] = {}
                 for q, z, y in zip(st.tolist(), lo.tolist(), hi.tolist(), strict=True):
                     dd, ii = int(d[q]), int(it[q])
                     z, y = max(z, int(x.first[dd])), min(y, int(x.first[dd + 1]))
                     own, text = words[first[ii] : first[ii + 1]], x.h[z:y]
                     if np.isin(own, text).sum() < threshold * len(own):
                         continue  # no alignment can reach the threshold
-                    score, f, end = smith_waterman(own, text)
+                    same = ii, text.tobytes()  # copies of a text are aligned once
+                    if same not in aligned:
+                        aligned[same] = smith_waterman(own, text)
+                    score, f, end = aligned[same]
                     got = (score / (MATCH * len(own)), f + z - int(x.first[dd]), end + z - int(x.first[dd]))
                     if got[0] >= threshold and got[0] > best.get((dd, ii), (0,))[0]:
                         best[dd, ii] = got
