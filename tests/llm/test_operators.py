@@ -288,6 +288,29 @@ def test_line_dedup(spark):
     assert got[6][1] > 10 and got[1][1] > 10 and got[2][1] == 0 and got[None][1] == 0
 
 
+def test_line_runs(spark):
+    rng = np.random.default_rng(31)
+    # short passages of common lines in different surroundings, one document twice, lines that repeat in place
+    rows = [(d, "\n".join(str(x) for x in rng.integers(0, 25, rng.integers(1, 30)))) for d in range(60)]
+    shared = ["shared one", "shared two"]
+    rows += [(60, "\n".join(["a", *shared, "b"])), (61, "\n".join(["c", *shared, "d"])), (62, "\n".join(["e", shared[0], "f"])), (63, "g\n" * 5), (64, None), (65, ""), rows[3]]
+    seen, want = set(), {}
+    for d, t in rows[:-1]:
+        ls = t.split("\n") if t else []
+        gone = [False] * len(ls)
+        for i in range(len(ls) - 1):
+            if (ls[i], ls[i + 1]) in seen:
+                gone[i] = gone[i + 1] = True
+            seen.add((ls[i], ls[i + 1]))
+        want[d] = len(ls), sum(gone), "\n".join(x for x, g in zip(ls, gone) if not g) if ls else t
+    assert want[61] == (4, 2, "c\nd") and want[62][1] == 0
+    df = spark.createDataFrame([*rows, (None, rows[0][1])], "doc_id long, text string")
+    got = line_dedup.line_runs(df).collect()
+    assert len(got) == len(rows) + 1
+    for r in got:
+        assert (r.n_lines, r.n_removed, r.kept) == (want[r.doc_id] if r.doc_id is not None else (want[0][0], 0, rows[0][1]))
+
+
 def test_decontaminate(spark):
     item = sentence(50, 40)
     words = item.split()

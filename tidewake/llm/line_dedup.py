@@ -1,6 +1,8 @@
 """Removal of multi-line passages that repeat across a corpus, by content-defined chunks of lines.
 
-A chunk ends after a line where a rolling hash over the last lines' hashes falls on a boundary value, so boundaries
+``line_runs`` takes every line as a boundary: its chunks are all pairs of neighbouring lines, which overlap, so a run of
+lines is shared exactly if each of its pairs is, and short passages and the edges of long ones are found as well.
+``line_dedup`` takes disjoint chunks, which is less: only what lies whole inside a shared passage is found. A chunk ends after a line where a rolling hash over the last lines' hashes falls on a boundary value, so boundaries
 follow the content and shift with it. Chunks of several lines with equal digests are compared byte by byte with the
 first of them, by (doc_id, place), and later ones are removed.
 """
@@ -8,6 +10,7 @@ first of them, by (doc_id, place), and later ones are removed.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,11 @@ def _lines(text: str | None) -> list[bytes]:
     return (text or "").encode().split(b"\n") if text else []
 
 
+def pairs_of(lines: list[bytes]) -> list[tuple[int, int]]:
+    """(first line, end line) of all runs of two lines."""
+    return [(i, i + 2) for i in range(len(lines) - 1)]
+
+
 def line_dedup(documents: DataFrame, min_lines: int = LINES) -> DataFrame:
     """doc_id, n_lines, n_removed, kept: each text without the chunks of at least ``min_lines`` lines that an earlier place has.
 
@@ -47,6 +55,20 @@ def line_dedup(documents: DataFrame, min_lines: int = LINES) -> DataFrame:
     first one keeps its chunk. Null and empty texts have no lines and stay as they are. Rows without a doc_id keep all and
     protect nothing; rows that repeat a doc_id and text count as one place. Extra columns are ignored.
     """
+    return _without(documents, chunks_of, min_lines)
+
+
+def line_runs(documents: DataFrame) -> DataFrame:
+    """doc_id, n_lines, n_removed, kept: each text without the lines in a run of two or more that earlier places have.
+
+    A line goes if it and a neighbour also follow each other at an earlier place; of a longer run every line does. Lines,
+    blank ones too, places, nulls and repeated rows count as in ``line_dedup``.
+    """
+    return _without(documents, pairs_of, 2)
+
+
+def _without(documents: DataFrame, spans_of: Callable[[list[bytes]], list[tuple[int, int]]], min_lines: int) -> DataFrame:
+    """Each text without the spans of at least ``min_lines`` lines that an earlier place has; spans may overlap."""
     docs = documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
 
     def cut(batches):
@@ -54,7 +76,7 @@ def line_dedup(documents: DataFrame, min_lines: int = LINES) -> DataFrame:
             rows = []
             for d, th, t in zip(*[b.column(c).to_pylist() for c in ("doc_id", "th", "text")], strict=True):
                 lines = _lines(t)
-                for i, (x, y) in enumerate(chunks_of(lines)):
+                for i, (x, y) in enumerate(spans_of(lines)):
                     if y - x >= min_lines:
                         raw = b"\n".join(lines[x:y])
                         rows.append((d, th, i, hashlib.blake2b(raw, digest_size=16).digest()))
@@ -70,7 +92,7 @@ def line_dedup(documents: DataFrame, min_lines: int = LINES) -> DataFrame:
             rows = []
             for d, th, t, want in zip(*[b.column(c).to_pylist() for c in ("doc_id", "th", "text", "want")], strict=True):
                 lines = _lines(t)
-                spans = chunks_of(lines)
+                spans = spans_of(lines)
                 for w in want:
                     if w["place"] < len(spans):
                         x, y = spans[w["place"]]
@@ -91,9 +113,9 @@ def line_dedup(documents: DataFrame, min_lines: int = LINES) -> DataFrame:
                 if not places:
                     rows.append((d, len(lines), 0, t))
                     continue
-                drop = set(places)
-                spans = chunks_of(lines)
-                kept = [x for i, (a, z) in enumerate(spans) if i not in drop for x in lines[a:z]]
+                spans = spans_of(lines)
+                drop = {k for i in places for k in range(*spans[i])}
+                kept = [x for k, x in enumerate(lines) if k not in drop]
                 rows.append((d, len(lines), len(lines) - len(kept), b"\n".join(kept).decode()))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), [pa.int64(), pa.int64(), pa.int64(), pa.string()], strict=True)], names=["doc_id", "n_lines", "n_removed", "kept"])
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewake.llm.decontamination import decontaminate
 from tidewake.llm.embedding_join import embedding_join
-from tidewake.llm.line_dedup import line_dedup
+from tidewake.llm.line_dedup import line_runs
 from tidewake.llm.ngram_join import ngram_join
 from tidewake.llm.packing import packing
 from tidewake.llm.substring_dedup import substring_dedup
@@ -22,7 +22,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _lines(s, d):
-    return line_dedup(_table(s, d, "documents")).select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return line_runs(_table(s, d, "documents")).select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 QUERIES = {
