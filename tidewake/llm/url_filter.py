@@ -51,7 +51,11 @@ def matched_by_table(pages: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def alias_links(pages: DataFrame) -> DataFrame:
-    """(url, target): the first canonical link and the first refresh redirect of each page; relative targets are resolved against the page's host."""
+    """(url, target): the first canonical link and the first refresh redirect of each page.
+
+    Targets that begin with // or / are resolved against the page's host. Others without :// (page2.html, ../en/9, ?p=2)
+    give no link, and a refresh target ends at ; as in the SQL twin.
+    """
     tag = lambda pattern: F.regexp_extract("html", pattern, 0)
     canonical = F.regexp_extract(tag(r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"), r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
     refresh = F.regexp_extract(tag(r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"), r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)", 1)
