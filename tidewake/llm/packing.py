@@ -191,7 +191,7 @@ def pieces_of(documents: DataFrame, ranks: str, end_id: int, capacity: int) -> D
         for b in C.units(batches):
             rows = []
             for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                ids = np.array([*enc.encode_ordinary(t or ""), end_id], "<u4")
+                ids = np.array([*enc.encode(t or ""), end_id], "<u4")
                 first = len(ids) % capacity or capacity
                 at = 0
                 for piece, end in enumerate(range(first, len(ids) + 1, capacity)):

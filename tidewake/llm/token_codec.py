@@ -1,12 +1,16 @@
 """Token ids as range-coded blocks under an adaptive mix of order-0, order-1 and order-2 predictions.
 
-A block holds up to BLOCK ids, is coded from a reset model and carries a checksum of its ids, so any block decodes
-alone. The model predicts one id from the last two ids, one from the last id, and one for each low byte (the last id
-that had it). Each id is first coded as the order that predicted it right (2, 1, 0 or none), with probabilities
-mixed from two adaptive contexts by an adaptive weight; order 0 then sends the low byte, none sends 16 bits. All
-blocks of a chunk are coded in step, one numpy lane each; integers only, so coder and decoder agree bit by bit.
-
-A chunk is one row of the Parquet files: whole documents, their ids and counts, block sizes, checksums and words.
+A block holds up to BLOCK ids, is coded from a reset model and carries a checksum of its ids, so any block of a chunk
+decodes alone. Order 2 and order 1 predict the id that last followed the last two ids or the last id, each with a count
+of how often it was right. Order 0 predicts from frequencies: a chunk's ids are sorted by their counts and cut into
+CLASSES classes of about equal weight; how likely a class is adapts within the block, the counts of the chunk (in its
+head) tell its ids apart. So each id is one of SYMBOLS outcomes (right by order 2, right by order 1, or its class), and
+the probabilities of outcomes are mixed, by a weight that adapts, from two adaptive distributions: one under the
+confidence and agreement of the two orders, one under the last id's class and the last outcome. All blocks of a chunk
+are coded in step, one numpy lane each; integers only, so coder and decoder agree bit by bit.
+
+A chunk is one row of the Parquet files: whole documents, their ids and counts, the id frequencies, block sizes,
+checksums and words. Ids are any unsigned 32-bit integers.
 """
 
 from __future__ import annotations
@@ -22,89 +26,160 @@ from pyspark.sql import functions as F
 
 from tidewake.llm import common as C
 from tidewake.llm import tokens
+from tidewake.llm.windows import pack, unpack
 
 U64 = np.uint64
 BLOCK = 2048
 CHUNK = 6 << 20
 #: Most blocks that are coded in step; a chunk has about as many, more where its last document is long.
-LANES = 3072
-MAGIC = b"TWCM0002"
-_T1, _T2 = 1024, 2048
-_BITS = 12
+LANES = 2048
+MAGIC = b"TWCM0003"
+CLASSES, SYMBOLS = 13, 15
+#: Slots of order 1 and order 2 in a block.
+_T1, _T2 = 512, 1024
+#: Probabilities of outcomes are parts of 2 ** _BITS (the last part is not used, so that weighted bounds fit 16 bits); a distribution moves by a part of 2 ** _FAST or 2 ** _SLOW.
+_BITS, _FAST, _SLOW = 12, 5, 4
+_ALL = (1 << _BITS) - 1
 _LOW32, _TOP = U64(0xFFFFFFFF), U64(1) << U64(32)
 ENCODED = "shard int, chunk int, start long, n_tokens long, payload binary"
 
-
-def _fields(*f: int) -> np.uint64:
-    """Four numbers below 65536 as the 16-bit fields of a word, the first lowest."""
-    return U64(sum(x << 16 * i for i, x in enumerate(f)))
-
-
-_FIELD, _PREFIX, _FOUR = U64(0xFFFF), _fields(1, 1, 1, 1), U64(4)
-#: An order's count moves by a part of 16 or 32 to the order that came true; the steps keep each count at 32 or more and their sum at 4096 or less.
-_FAST = np.array([_fields(*(2 + 244 * (i == o) for i in range(4))) for o in range(4)])
-_SLOW = np.array([_fields(*(1 + 120 * (i == o) for i in range(4))) for o in range(4)])
-_KEEP12, _KEEP11 = _fields(*[0xFFF] * 4), _fields(*[0x7FF] * 4)
-_START = _fields(1024, 1024, 1024, 1024)
-#: Bits sent after each order, and their mask.
-_SHIFT = np.array([0, 0, 8, 16], U64)
-_MASK = (U64(1) << _SHIFT) - U64(1)
+_BOUND = np.arange(SYMBOLS + 1, dtype=np.int16)
+_ROW = SYMBOLS + 1
+_START = (_BOUND.astype(np.int64) * _ALL // SYMBOLS).astype(np.int16)
+#: Where each outcome pulls the bounds: every gap stays 1 or more.
+_PULL = np.stack([np.where(_BOUND <= s, _BOUND, _ALL - SYMBOLS + _BOUND) for s in range(SYMBOLS)]).astype(np.int16)
+#: By 4 * right + confidence: whether a slot keeps its rank, and what its confidence gains.
+_KEEPS = np.array([False, False, True, True, True, True, True, True])
+_GAIN = np.array([0, 0, -1, -1, 1, 1, 1, 0], np.int32)
+
+
+class Frequencies:
+    """Order 0 of a chunk: its distinct ids from frequent to rare, their classes and their parts of a class."""
+
+    def __init__(self, ids: np.ndarray, weight: np.ndarray):
+        """ids and a positive weight of each, frequent ids first."""
+        self.ids, self.weight = ids.astype(np.uint32), weight.astype(np.uint32)
+        n = len(ids)
+        w = self.weight.astype(np.int64)
+        total = np.cumsum(w)
+        whole = int(total[-1]) if n else 1
+        self.cls = np.minimum((total - w) * CLASSES // whole, CLASSES - 1)
+        sizes = np.bincount(self.cls, minlength=CLASSES)
+        self.bits = max(16, int(sizes.max(initial=1)).bit_length() + 1)
+        mass = np.maximum(np.bincount(self.cls, w, CLASSES).astype(np.int64), 1)
+        spare = (1 << self.bits) - sizes
+        part = 1 + w * spare[self.cls] // mass[self.cls]  # of each class at most 2 ** bits
+        first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        ends = np.cumsum(part)
+        low = ends - part
+        self.low, self.part = low - low[np.minimum(first, max(n - 1, 0))][self.cls] if n else low, part
+        self.edge = (self.cls.astype(np.int64) << self.bits) + self.low
+        self.table = None
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> tuple[Frequencies, np.ndarray]:
+        """The frequencies of a chunk and the rank of each of its ids."""
+        if len(ids) and int(ids.max()) < 1 << 22:
+            count = np.bincount(ids)
+            values = np.flatnonzero(count)
+            count = count[values]
+            where = np.zeros(int(values[-1]) + 1, np.int32)
+            inverse = None
+        else:
+            values, inverse, count = np.unique(ids, return_inverse=True, return_counts=True)
+        # weights keep four significant bits, which shortens the head
+        shift = np.maximum(np.frexp(count.astype(np.float64))[1] - 4, 0)
+        weight = np.maximum(count >> shift, 1) << shift
+        o = np.lexsort((values, -weight))
+        rank = np.empty(len(o), np.int32)
+        rank[o] = np.arange(len(o), dtype=np.int32)
+        f = cls(values[o], weight[o])
+        if inverse is not None:
+            return f, rank[inverse]
+        if len(ids):
+            where[values] = rank
+            return f, where[ids]
+        return f, np.zeros(0, np.int32)
+
+    def tobytes(self) -> bytes:
+        """Runs of equal weight, and the steps between the ids of a run."""
+        st = C.runs(self.weight)
+        step = np.diff(self.ids.astype(np.int64), prepend=0)
+        step[st] = self.ids[st]
+        wide = np.flatnonzero(step >= 255)
+        return pack(self.weight[st], np.diff(np.concatenate((st, [len(self.ids)]))).astype(np.uint32), np.minimum(step, 255).astype(np.uint8), step[wide].astype(np.uint32))
+
+    @classmethod
+    def frombytes(cls, raw: bytes) -> Frequencies:
+        weight, length, step, wide = unpack(raw, np.uint32, np.uint32, np.uint8, np.uint32)
+        step = step.astype(np.int64)
+        step[step == 255] = wide
+        st = (np.cumsum(length.astype(np.int64)) - length).astype(np.int64)
+        total = np.cumsum(step)
+        if len(step):
+            total = total - np.repeat(total[st] - step[st], length)
+        return cls(total, np.repeat(weight, length))
+
+    def find(self, cls: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """Ranks of the ids of class ``cls`` whose part holds ``value``."""
+        at = (cls << self.bits) + value
+        if self.bits > 18:
+            return np.searchsorted(self.edge, at, "right") - 1
+        if self.table is None:
+            mark = np.zeros(CLASSES << self.bits, np.int32)
+            mark[self.edge[1:]] = 1
+            self.table = np.cumsum(mark, dtype=np.int32)
+        return self.table.take(at, mode="clip")
 
 
 class _Model:
-    """Predictions and mixed counts of all lanes; the counts of orders 2, 1, 0 and none are the fields of one word."""
+    """Predicted ranks and mixed distributions of all lanes. A slot holds a rank and, in its low two bits, its confidence."""
 
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, freq: Frequencies):
         i = np.arange(lanes, dtype=np.int64)
-        self.t0 = np.zeros(lanes * 256, np.uint16)
-        self.t1 = np.zeros(lanes * _T1, np.uint16)
-        self.t2 = np.zeros(lanes * _T2, np.uint16)
-        self.o0, self.o1, self.o2 = i * 256, i * _T1, i * _T2
-        self.a = np.full(lanes * 8, _START)
-        self.b = np.full(lanes * 16, _START)
-        self.oa, self.ob = i * 8, i * 16
-        self.w = np.full(lanes, 8, np.int64)
-        self.p1, self.far = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.last, self.both = np.full(lanes, 3, np.int64), np.full(lanes, 15, np.int64)
+        self.t1, self.t2 = np.full(lanes * _T1, -4, np.int32), np.full(lanes * _T2, -4, np.int32)
+        self.o1, self.o2, self.row = i * _T1, i * _T2, i * _ROW
+        self.a = np.tile(_START, (lanes * 32, 1))
+        self.b = np.tile(_START, (lanes * 256, 1))
+        self.oa, self.ob = i * 32, i * 256
+        self.w = np.full(lanes, 8, np.int16)
+        self.p1, self.near, self.far = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.context = np.zeros(lanes, np.int64)
+        self.cls = freq.cls
 
     def shrink(self, n: int) -> None:
         """Only the first n lanes go on."""
-        for k in ("o0", "o1", "o2", "oa", "ob", "w", "p1", "far", "last", "both"):
+        for k in ("o1", "o2", "oa", "ob", "row", "w", "p1", "near", "far", "context"):
             setattr(self, k, getattr(self, k)[:n])
 
     def predict(self) -> np.ndarray:
-        """Mixed counts per lane; sets the ids predicted by orders 2 and 1."""
-        self.i1 = (self.p1 & (_T1 - 1)) + self.o1
-        near = self.p1 * 0x9E5
-        self.i2 = ((near + self.far) >> 7 & (_T2 - 1)) + self.o2
-        self.q1, self.q2 = self.t1.take(self.i1, mode="clip"), self.t2.take(self.i2, mode="clip")
-        self.ia = (self.last << 1) + self.oa + (self.q1 == self.q2)
-        self.ib = self.both + self.ob
-        self.ca, self.cb = self.a.take(self.ia, mode="clip"), self.b.take(self.ib, mode="clip")
-        w = self.w.view(U64)
-        return (self.ca * w + self.cb * (U64(16) - w)) >> _FOUR & _KEEP12
-
-    def outcome(self, ids: np.ndarray, v: np.ndarray) -> np.ndarray:
-        """The first order that is right; v: the ids in 16 bits."""
-        self.i0 = (ids & 255) + self.o0
-        out = 3 - (v == self.t0.take(self.i0, mode="clip")).astype(np.int64)
-        out[v == self.q1] = 1
-        out[v == self.q2] = 0
-        return out
-
-    def update(self, ids: np.ndarray, v: np.ndarray, out: np.ndarray, at: np.ndarray) -> None:
-        """at: the shift of the field of ``out``."""
-        ca, cb = self.ca, self.cb
-        fa, fb = ca >> at & _FIELD, cb >> at & _FIELD
-        w = self.w + (fa > fb) - (fb > fa)
-        self.w = np.minimum(np.maximum(w, 1), 15)
-        self.a[self.ia] = ca - (ca >> _FOUR & _KEEP12) + _FAST.take(out, mode="clip")
-        self.b[self.ib] = cb - (cb >> U64(5) & _KEEP11) + _SLOW.take(out, mode="clip")
-        self.t0[self.i0] = v
-        self.t1[self.i1] = v
-        self.t2[self.i2] = v
-        self.far, self.p1 = self.p1 * 0x3D4D51, ids
-        self.both, self.last = (out << 2) + self.last, out
+        """Bounds of the outcomes per lane; sets the ranks predicted by both orders (-1: none)."""
+        self.i1 = (self.near >> 11 & (_T1 - 1)) + self.o1
+        self.i2 = (self.near + self.far >> 9 & (_T2 - 1)) + self.o2
+        self.s1, self.s2 = self.t1.take(self.i1, mode="clip"), self.t2.take(self.i2, mode="clip")
+        self.c1, self.c2, self.q1, self.q2 = self.s1 & 3, self.s2 & 3, self.s1 >> 2, self.s2 >> 2
+        self.ia = self.oa + ((self.c2 << 3) + (self.c1 << 1) + (self.q1 == self.q2))
+        self.ib = self.ob + self.context
+        self.ca, self.cb = self.a.take(self.ia, axis=0, mode="clip"), self.b.take(self.ib, axis=0, mode="clip")
+        w = self.w.view(np.uint16)[:, None]
+        return self.ca.view(np.uint16) * w + self.cb.view(np.uint16) * (np.uint16(16) - w) >> np.uint16(4)
+
+    def update(self, rank: np.ndarray, out: np.ndarray, at: np.ndarray) -> None:
+        """at: where the lower bound of each lane's outcome is."""
+        pull = _PULL.take(out, axis=0, mode="clip")
+        self.a[self.ia] = self.ca + (pull - self.ca >> _FAST)
+        self.b[self.ib] = self.cb + (pull - self.cb >> _SLOW)
+        ca, cb = self.ca.ravel(), self.cb.ravel()
+        gain = ca.take(at + 1, mode="clip") - ca.take(at, mode="clip") - cb.take(at + 1, mode="clip") + cb.take(at, mode="clip")
+        self.w = np.minimum(np.maximum(self.w + np.sign(gain), 1), 15)
+        new = rank << 2
+        for table, i, s, q, c in ((self.t1, self.i1, self.s1, self.q1, self.c1), (self.t2, self.i2, self.s2, self.q2, self.c2)):
+            case = ((q == rank).view(np.int8) << 2) + c
+            table[i] = np.where(_KEEPS.take(case, mode="clip"), s + _GAIN.take(case, mode="clip"), new)
+        self.context = (self.cls.take(rank, mode="clip") << 4) + out
+        self.far = self.p1 * 0x3D4D51
+        self.p1 = rank.astype(np.int64)
+        self.near = self.p1 * 0x9E3779B1
 
 
 def _lanes(n: int) -> np.ndarray:
@@ -117,44 +192,55 @@ def _groups(n: int) -> list[tuple[int, int]]:
     return [(x, min(x + LANES, n)) for x in range(0, n, LANES)]
 
 
-def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(words per block, checksum per block, all 32-bit words) of ids below 65536."""
+def encode_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """(id frequencies, words per block, checksum per block, all 32-bit words)."""
+    ids = ids.astype(np.uint32)
     sizes = _lanes(len(ids))
-    crc = np.array([zlib.crc32(ids[i * BLOCK : i * BLOCK + n].astype("<u2").tobytes()) for i, n in enumerate(sizes)], np.uint32)
-    parts = [_encode(ids[x * BLOCK : y * BLOCK], sizes[x:y]) for x, y in _groups(len(sizes))]
+    crc = np.array([zlib.crc32(ids[i * BLOCK : i * BLOCK + n].astype("<u4").tobytes()) for i, n in enumerate(sizes)], np.uint32)
+    freq, rank = Frequencies.of(ids)
+    parts = [_encode(rank[x * BLOCK : y * BLOCK], sizes[x:y], freq) for x, y in _groups(len(sizes))]
     used, words = zip(*parts, strict=True) if parts else ([], [])
-    return np.concatenate([np.zeros(0, np.uint32), *used]), crc, np.concatenate([np.zeros(0, np.uint32), *words])
+    return freq.tobytes(), np.concatenate([np.zeros(0, np.uint32), *used]), crc, np.concatenate([np.zeros(0, np.uint32), *words])
 
 
-def _encode(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _encode(rank: np.ndarray, sizes: np.ndarray, freq: Frequencies) -> tuple[np.ndarray, np.ndarray]:
     """(words per block, all words) of the blocks of one group."""
     lanes = len(sizes)
-    grid = np.zeros((lanes, BLOCK), np.int64)
-    grid.ravel()[: len(ids)] = ids
+    steps_n = int(sizes[0])
+    grid = np.zeros((lanes, steps_n), np.int32)
+    grid.ravel()[: len(rank)] = rank
     steps = np.ascontiguousarray(grid.T)
-    short = steps.astype(np.uint16)
-    m = _Model(lanes)
+    m = _Model(lanes, freq)
     lo, rg = np.zeros(lanes, U64), np.full(lanes, 2**64 - 1, U64)
     low = np.zeros(lanes, U64)
-    width = BLOCK + 8
+    width = steps_n // 2 + 16
     words, used = np.zeros((lanes, width), np.uint32), np.zeros(lanes, np.int64)
     flat, row = words.ravel(), np.arange(lanes) * width
     n = lanes
-    for t in range(int(sizes[0])):
+    inner_low, inner_part, bits = freq.low.astype(U64), freq.part.astype(U64), U64(freq.bits)
+    whole = U64(1 << freq.bits)
+    for t in range(steps_n):
         if t == sizes[-1] and lanes > 1:  # the short last block has ended
             n = lanes - 1
             low[n] = lo[n]
             lo, rg = lo[:n], rg[:n]
             m.shrink(n)
-        x, v = steps[t, :n], short[t, :n]
+        x = steps[t, :n]
         c = m.predict()
-        out = m.outcome(x, v)
-        at = (out << 4).view(U64)
+        out = m.cls.take(x, mode="clip") + 2
+        out[x == m.q1] = 1
+        out[x == m.q2] = 0
+        at = m.row + out
+        flat_c = c.ravel()
+        under = flat_c.take(at, mode="clip").astype(U64)
         r = rg >> U64(_BITS)
-        lo = lo + ((c * _PREFIX << U64(16)) >> at & _FIELD) * r
-        rg = r * (c >> at & _FIELD) >> _SHIFT.take(out, mode="clip")
-        lo += (x.view(U64) & _MASK.take(out, mode="clip")) * rg
-        m.update(x, v, out, at)
+        lo = lo + under * r
+        rg = (flat_c.take(at + 1, mode="clip") - under) * r
+        plain = out < 2
+        r = rg >> bits
+        lo += np.where(plain, U64(0), inner_low.take(x, mode="clip")) * r
+        rg = np.where(plain, whole, inner_part.take(x, mode="clip")) * r
+        m.update(x, out, at)
         k = np.flatnonzero(rg < _TOP)
         while len(k):
             a, g = lo.take(k, mode="clip"), rg.take(k, mode="clip")
@@ -167,11 +253,11 @@ def _encode(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
             used[k] = place + 1
             g = g << U64(32)
             lo[k], rg[k] = a << U64(32), g
-            k = k[g < _TOP]
             if int(place.max()) + 6 > width:
                 words = np.concatenate((words, np.zeros((lanes, BLOCK // 4), np.uint32)), 1)
                 width = words.shape[1]
                 flat, row = words.ravel(), np.arange(lanes) * width
+            k = k[g < _TOP]
     low[:n] = lo
     lane = np.arange(lanes)
     words[lane, used] = (low >> U64(32)).astype(np.uint32)
@@ -180,28 +266,32 @@ def _encode(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return used.astype(np.uint32), words[np.arange(width) < used[:, None]]
 
 
-def decode_blocks(n: int, used: np.ndarray, crc: np.ndarray, words: np.ndarray) -> np.ndarray:
+def decode_blocks(n: int, head: bytes, used: np.ndarray, crc: np.ndarray, words: np.ndarray) -> np.ndarray:
     """The ids; ValueError if a block's checksum does not hold."""
     sizes = _lanes(n)
+    freq = Frequencies.frombytes(head)
     at = np.concatenate(([0], np.cumsum(used.astype(np.int64))))
-    parts = [_decode(sizes[x:y], at[x:y] - at[x], words[at[x] : at[y]]) for x, y in _groups(len(sizes))]
-    ids = np.concatenate([np.zeros(0, np.uint16), *parts])
+    parts = [_decode(sizes[x:y], at[x:y] - at[x], words[at[x] : at[y]], freq) for x, y in _groups(len(sizes))]
+    ids = freq.ids.take(np.concatenate([np.zeros(0, np.int32), *parts]), mode="clip") if n else np.zeros(0, np.uint32)
     for i, size in enumerate(sizes):
-        if zlib.crc32(ids[i * BLOCK : i * BLOCK + size].tobytes()) != crc[i]:
+        if zlib.crc32(ids[i * BLOCK : i * BLOCK + size].astype("<u4").tobytes()) != crc[i]:
             raise ValueError(f"block {i}: checksum does not hold")
-    return ids.astype(np.uint32)
+    return ids
 
 
-def _decode(sizes: np.ndarray, at: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """The ids of the blocks of one group, whose words begin at ``at``."""
+def _decode(sizes: np.ndarray, at: np.ndarray, words: np.ndarray, freq: Frequencies) -> np.ndarray:
+    """The ranks of the blocks of one group, whose words begin at ``at``."""
     lanes = len(sizes)
     words = np.concatenate((words, np.zeros(4, np.uint32))).astype(U64)
-    m = _Model(lanes)
+    m = _Model(lanes, freq)
     cd, rg = words.take(at, mode="clip") << U64(32) | words.take(at + 1, mode="clip"), np.full(lanes, 2**64 - 1, U64)
     lo = np.zeros(lanes, U64)
     at = at + 2
-    steps = np.zeros((BLOCK, lanes), np.uint16)
+    steps = np.zeros((int(sizes[0]), lanes), np.int32)
     k = lanes
+    inner_low, inner_part, bits = freq.low.astype(U64), freq.part.astype(U64), U64(freq.bits)
+    whole = U64(1 << freq.bits)
+    last = np.int64((1 << freq.bits) - 1)
     for t in range(int(sizes[0])):
         if t == sizes[-1] and lanes > 1:
             k = lanes - 1
@@ -209,25 +299,23 @@ def _decode(sizes: np.ndarray, at: np.ndarray, words: np.ndarray) -> np.ndarray:
             lo, cd, rg = lo[:k], cd[:k], rg[:k]
         c = m.predict()
         r = rg >> U64(_BITS)
-        d = cd - lo
-        cum = c * _PREFIX
-        out = (d >= (cum & _FIELD) * r).astype(np.int64)
-        out += d >= (cum >> U64(16) & _FIELD) * r
-        out += d >= (cum >> U64(32) & _FIELD) * r
-        shift = (out << 4).view(U64)
-        lo = lo + ((cum << U64(16)) >> shift & _FIELD) * r
-        rg = r * (c >> shift & _FIELD) >> _SHIFT.take(out, mode="clip")
-        x = np.where(out == 0, m.q2, m.q1)
-        j = np.flatnonzero(out >= 2)
-        g, o, z = rg.take(j, mode="clip"), out.take(j, mode="clip"), lo.take(j, mode="clip")
-        v = np.minimum((cd.take(j, mode="clip") - z) // g, _MASK.take(o, mode="clip"))
-        lo[j] = z + v * g
-        known = m.t0.take(m.o0.take(j, mode="clip") + (v & U64(255)).view(np.int64), mode="clip")
-        x[j] = np.where(o == 2, known, v.astype(np.uint16))
-        ids = x.astype(np.int64)
-        m.i0 = (ids & 255) + m.o0
+        d = np.minimum((cd - lo) // r, U64(_ALL - 1)).astype(np.uint16)
+        out = np.bitwise_count((c <= d[:, None]).view(U64)).sum(1).astype(np.int64) - 1
+        where = m.row + out
+        flat_c = c.ravel()
+        under = flat_c.take(where, mode="clip").astype(U64)
+        lo = lo + under * r
+        rg = (flat_c.take(where + 1, mode="clip") - under) * r
+        r = rg >> bits
+        plain = out < 2
+        value = np.minimum(((cd - lo) // r).astype(np.int64), last)
+        x = freq.find(np.maximum(out - 2, 0), value).astype(np.int32)
+        x = np.where(plain, np.where(out == 0, m.q2, m.q1), x)
+        x = np.minimum(np.maximum(x, 0), len(freq.ids) - 1)  # only in damaged blocks
+        lo += np.where(plain, U64(0), inner_low.take(x, mode="clip")) * r
+        rg = np.where(plain, whole, inner_part.take(x, mode="clip")) * r
         steps[t, :k] = x
-        m.update(ids, x, out, shift)
+        m.update(x, out, where)
         j = np.flatnonzero(rg < _TOP)
         while len(j):
             a, g = lo.take(j, mode="clip"), rg.take(j, mode="clip")
@@ -240,29 +328,28 @@ def _decode(sizes: np.ndarray, at: np.ndarray, words: np.ndarray) -> np.ndarray:
             g = g << U64(32)
             lo[j], rg[j] = a << U64(32), g
             j = j[g < _TOP]
-    return np.ascontiguousarray(steps.T).ravel()[: int(sizes.sum())]
+    flat = np.ascontiguousarray(steps.T)
+    return flat.ravel()[: int(sizes.sum())]
 
 
 def encode_chunk(docs: np.ndarray, known: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
     """A chunk of whole documents; ``known`` is false for documents without an id."""
-    if len(ids) and int(ids.max()) >= 1 << 16:
-        raise ValueError("ids must be below 65536")
-    used, crc, words = encode_blocks(ids)
-    head = np.array([len(docs), len(ids), len(used)], "<i8").tobytes()
-    return MAGIC + head + docs.astype("<i8").tobytes() + known.astype(np.uint8).tobytes() + counts.astype("<i8").tobytes() + used.astype("<u4").tobytes() + crc.astype("<u4").tobytes() + words.astype("<u4").tobytes()
+    freq, used, crc, words = encode_blocks(ids)
+    head = np.array([len(docs), len(ids), len(used), len(freq)], "<i8").tobytes()
+    return MAGIC + head + docs.astype("<i8").tobytes() + known.astype(np.uint8).tobytes() + counts.astype("<i8").tobytes() + freq + used.astype("<u4").tobytes() + crc.astype("<u4").tobytes() + words.astype("<u4").tobytes()
 
 
 def decode_chunk(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(documents, known, counts, ids)."""
     if raw[:8] != MAGIC:
         raise ValueError("not a token chunk")
-    d, n, b = np.frombuffer(raw, "<i8", 3, 8).tolist()
-    at, out = 32, []
-    for kind, m in (("<i8", d), ("u1", d), ("<i8", d), ("<u4", b), ("<u4", b)):
-        out.append(np.frombuffer(raw, kind, m, at))
+    d, n, b, h = np.frombuffer(raw, "<i8", 4, 8).tolist()
+    at, out = 40, []
+    for kind, m in (("<i8", d), ("u1", d), ("<i8", d), ("S1", h), ("<u4", b), ("<u4", b)):
+        out.append(raw[at : at + m] if kind == "S1" else np.frombuffer(raw, kind, m, at))
         at += m * np.dtype(kind).itemsize
-    docs, known, counts, used, crc = out
-    return docs, known.astype(bool), counts, decode_blocks(n, used, crc, np.frombuffer(raw, "<u4", -1, at))
+    docs, known, counts, freq, used, crc = out
+    return docs, known.astype(bool), counts, decode_blocks(n, freq, used, crc, np.frombuffer(raw, "<u4", -1, at))
 
 
 def encode_documents(documents: DataFrame, tokenizer: str, end_id: int, shards: int) -> DataFrame:
@@ -329,8 +416,9 @@ def read_documents(chunks: DataFrame) -> DataFrame:
 def token_codec(documents: DataFrame, tokenizer: str | None = None, end_id: int = 2) -> DataFrame:
     """Writes the ids of every whole text, each with ``end_id`` appended, as coded chunks and reads them back.
 
-    A null or empty text is the end id alone. Rows without a doc_id come first; repeated rows are each written. Extra
-    columns are ignored; an empty table gives an empty result.
+    A null or empty text is the end id alone. Strings of special tokens in a text count as such, as in a plain call of
+    the library. Rows without a doc_id come first; repeated rows are each written. Ids may be any unsigned 32-bit
+    integers. Extra columns are ignored; an empty table gives an empty result.
     """
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
     return read_documents(C.written(encode_documents(documents, path, end_id, C.partitions(documents.sparkSession)), "tokens"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 
 import numpy as np
 import public_tokenizers
@@ -13,18 +14,30 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks alread
 _loaded: dict[str, object] = {}
 
 
+_LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+#: Words that the tokenizer keeps as one piece, words whose pieces are known beforehand, and these pieces (in lower case) by its own rule.
+_ONE = re.compile(f"[A-Za-z{_LATIN}]+").fullmatch
+_KNOWN = re.compile(f"[!-~{_LATIN}]+").fullmatch
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^a-z0-9{_LATIN}]+").findall
+_SPECIAL = "<|"
+_BATCH = 500
+
+
 class WordEncoder:
-    """Whole texts by a tokenizer that drops white space, so that words can be encoded one by one.
+    """Whole texts by a tokenizer that drops white space and ends each piece by a token of its own, so that words can be encoded apart.
 
-    Words are looked up in a cache of two generations of at most about ``limit`` words each; those it lacks are
-    encoded in one batch. A word that is used moves to the young generation, and a full one replaces the old.
+    Words are looked up in a cache of two generations of at most about ``limit`` words each. New words whose number of
+    pieces is known beforehand are encoded many at a time and told apart by their end tokens; others one by one. A word
+    that is used moves to the young generation, and a full one replaces the old.
     """
 
     def __init__(self, path: str, limit: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.limit, self.young, self.old = limit, {}, {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -35,14 +48,36 @@ class WordEncoder:
         new = set().union(*split) - self.young.keys()
         kept = new & self.old.keys()
         self.young.update((w, self.old[w]) for w in kept)
-        todo = list(new - kept)
-        for at in range(0, len(todo), 20_000):
-            part = todo[at : at + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.young[w] = np.array(e.ids, "<u4").tobytes()
+        self._learn(new - kept)
         get = self.young.__getitem__
         return [b"".join(map(get, w)) for w in split]
 
+    def _learn(self, words: set[str]) -> None:
+        many, pieces, single = [], [], []
+        for w in words:
+            if _ONE(w):
+                many.append(w), pieces.append(1)
+            elif _KNOWN(w) and _SPECIAL not in w:
+                many.append(w), pieces.append(len(_PIECES(w.lower())))
+            else:
+                single.append(w)
+        for at in range(0, len(many), _BATCH):
+            part = many[at : at + _BATCH]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            last = np.cumsum(pieces[at : at + _BATCH]) - 1
+            if len(ends) != last[-1] + 1 or ends[-1] != len(ids):
+                single += part
+                continue
+            cut, raw, x = (4 * ends[last]).tolist(), ids.tobytes(), 0
+            for w, y in zip(part, cut, strict=True):
+                self.young[w] = raw[x:y]
+                x = y
+        for at in range(0, len(single), 20_000):
+            part = single[at : at + 20_000]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.young[w] = np.array(e.ids, "<u4").tobytes()
+
 
 def word_encoder(path: str) -> WordEncoder:
     if path not in _loaded:
@@ -50,12 +85,24 @@ def word_encoder(path: str) -> WordEncoder:
     return _loaded[path]
 
 
-def rank_encoder(path: str):
-    """A byte-level encoder of a rank file: ``encode_ordinary(text)`` gives the ids of the tokenizers file of the same vocabulary."""
-    if path not in _loaded:
+class RankEncoder:
+    """A byte-level encoder of a rank file: the ids of the tokenizers file of the same vocabulary, whose special tokens count as such in a text."""
+
+    def __init__(self, path: str, special: dict[str, int]):
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _loaded[path] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        self.special = tuple(special)
+
+    def encode(self, text: str) -> list[int]:
+        if any(x in text for x in self.special):
+            return self.encoding.encode(text, allowed_special="all")
+        return self.encoding.encode_ordinary(text)
+
+
+def rank_encoder(path: str) -> RankEncoder:
+    if path not in _loaded:
+        _loaded[path] = RankEncoder(path, {"<|endoftext|>": 50256})
     return _loaded[path]
