@@ -432,3 +432,37 @@ def test_blocks_in_several_groups(monkeypatch):
         assert whole[0] == cut[0] and all(np.array_equal(a, b) for a, b in zip(whole[1:], cut[1:], strict=True))
         assert np.array_equal(tc.decode_blocks(n, *cut), ids)
         monkeypatch.undo()
+
+
+def thue_morse(n: int) -> str:
+    return "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+
+
+def test_words_that_a_polynomial_hash_confuses(spark):
+    a = thue_morse(1024)
+    b = a.translate(str.maketrans("ab", "ba"))
+    rest = sentence(90, 12)
+    df = spark.createDataFrame([(1, f"{a} {rest}"), (2, f"{b} {rest}"), (3, a), (4, b), (5, a)], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in substring_dedup(df).collect()} == dict.fromkeys(range(1, 6), 0)
+    assert {r.doc_id: r.component_id for r in ngram_join.ngram_join(df).collect()} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 3}
+
+
+def test_hashes_of_words_of_all_lengths():
+    import pyarrow as pa
+
+    words = ["x" * i for i in range(1, 200)] + ["x" * i + "y" for i in range(200)] + ["é" * i for i in range(1, 90)]
+    buf, off = common.text_buffer(pa.array([" ".join(words), None, " ".join(reversed(words))], pa.string()))
+    h, _, _, first = common.words(buf, off, seed=5)
+    assert len(set(h.tolist())) == len(set(words)) and np.array_equal(h[: first[1]], h[first[2] :][::-1])
+    assert not np.isin(common.words(buf, off, seed=6)[0], h).any()
+    assert np.array_equal(common.words(*common.text_buffer(pa.array(["ABC Dé"], pa.string())), lower=True)[0], common.words(*common.text_buffer(pa.array(["abc dé"], pa.string())))[0])
+
+
+def test_levels_double_and_large_partitions_are_settled_in_parts(spark, docs, monkeypatch):
+    from tidewake.llm import windows
+
+    assert substring_dedup.__module__ and __import__("tidewake.llm.substring_dedup", fromlist=["x"]).levels_of(13) == [4, 8, 13]
+    h = np.random.default_rng(0).integers(0, 500, 10_000)
+    parts = list(windows.parts_by_hash(h, 300))
+    assert len(parts) > 5 and sorted(np.concatenate(parts).tolist()) == list(range(10_000))
+    assert sum(len(np.unique(h[p])) for p in parts) == len(np.unique(h))

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,12 +32,12 @@ PARITY = (512, 1 << 17)
 class Shingles:
     """Distinct shingle hashes of each text of a unit, sorted inside each text."""
 
-    def __init__(self, col: pa.Array, size: int):
+    def __init__(self, col: pa.Array, size: int, seed: int):
         buf, off = C.text_buffer(col)
-        e, _, _, first = C.words(buf, off, lower=True)
+        e, _, _, first = C.words(buf, off, lower=True, seed=seed)
         counts = np.diff(first)
         doc = np.repeat(np.arange(len(counts)), counts)
-        h = C.windows_of(e, size)
+        h = C.windows_of(e, size, seed)
         ok = doc[: len(h)] == doc[size - 1 : size - 1 + len(h)] if len(h) else np.zeros(0, bool)
         h, d = h[ok], doc[: len(ok)][ok]
         short = np.flatnonzero((counts > 0) & (counts < size))
@@ -76,13 +77,13 @@ def _slot(h: np.ndarray) -> np.ndarray:
     return (h >> U64(40)).astype(np.int64) % SLOTS
 
 
-def _sketched(docs: DataFrame, size: int) -> DataFrame:
+def _sketched(docs: DataFrame, size: int, seed: int) -> DataFrame:
     """Rows of two kinds: (doc_id, n, sig) of each document with words, and slices of document counts per shingle slot."""
 
     def run(batches):
         count = np.zeros(SLOTS, np.uint32)
         for b in C.units(batches):
-            s = Shingles(b.column("text"), size)
+            s = Shingles(b.column("text"), size, seed)
             slots, times = np.unique(_slot(s.h), return_counts=True)
             count[slots] += times.astype(np.uint32)
             has = np.flatnonzero(s.n)
@@ -108,13 +109,13 @@ def _frequencies(sketched: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def _prefixes(docs: DataFrame, size: int, percent: int, counts) -> DataFrame:
+def _prefixes(docs: DataFrame, size: int, percent: int, counts, seed: int) -> DataFrame:
     """(doc_id, n, sig, prefix, bits): the rarest n - ceil(percent * n / 100) + 1 shingles of each set, and its parity map."""
 
     def run(batches):
         freq = counts.value
         for b in C.units(batches):
-            s = Shingles(b.column("text"), size)
+            s = Shingles(b.column("text"), size, seed)
             o = np.lexsort((s.h, freq[_slot(s.h)], s.d))
             h = s.h[o]
             keep = s.n - (percent * s.n + 99) // 100 + 1
@@ -132,29 +133,34 @@ def _group_pairs(groups: DataFrame, percent: int) -> DataFrame:
 
     groups: gid, n, prefix; one row per group, so a block of a bucket holds each group once per unit.
     """
-    buckets = C.partitions(groups.sparkSession) * 2
+    buckets = C.partitions(groups.sparkSession)
 
-    def ask(batches):
+    def entries(batches):
         for b in batches:
-            for at in range(0, b.num_rows, 4000):
-                u = b.slice(at, 4000)
-                gid, n = u.column("gid").to_numpy(), u.column("n").to_numpy()
-                p = [np.frombuffer(x, U64) for x in u.column("prefix").to_pylist()]
-                h = np.concatenate(p) if p else np.zeros(0, U64)
-                g = np.repeat(np.arange(len(p)), [len(x) for x in p])
+            gid, n = b.column("gid").to_numpy(), b.column("n").to_numpy()
+            p = [np.frombuffer(x, U64) for x in b.column("prefix").to_pylist()]
+            g = np.repeat(np.arange(len(p)), [len(x) for x in p])
+            yield np.concatenate(p) if p else np.zeros(0, U64), gid[g], n[g]
+
+    def ask(batches):
+        for h, gid, n in W.gather(entries(batches)):
 
-                def columns(r, h=h, g=g, gid=gid, n=n):
-                    st = C.runs(g[r])
-                    own = g[r][st]
-                    return W.pack(gid[own], n[own].astype(np.int64), np.diff(np.concatenate((st, [len(r)]))).astype(np.uint32), (h[r] >> U64(32)).astype(np.uint32))
+            def columns(r, h=h, gid=gid, n=n):
+                st = C.runs(gid[r])
+                return W.pack(gid[r][st], n[r][st].astype(np.int64), np.diff(np.concatenate((st, [len(r)]))).astype(np.uint32), (h[r] >> U64(32)).astype(np.uint32))
 
-                yield W.as_batch(list(W._blocks(((h & U64(0xFFFFFFFF)) % U64(buckets)).astype(np.int64), W.ASK, columns)), W.BLOCK_ARROW)
+            yield W.as_batch(list(W._blocks(((h & U64(0xFFFFFFFF)) % U64(buckets)).astype(np.int64), W.ASK, columns)), W.BLOCK_ARROW)
 
     def settle(batches):
-        for bucket, held in W.by_bucket(batches):
-            got = [W.unpack(p, np.int64, np.int64, np.uint32, np.uint32) for _, p in held]
-            g, n = (np.concatenate([np.repeat(x[i], x[2]) for x in got]) for i in (0, 1))
-            h = np.concatenate([x[3] for x in got])
+        got = [W.unpack(p, np.int64, np.int64, np.uint32, np.uint32) for _, p in W.blocks_of(batches)]
+        if not got:
+            return
+        all_g, all_n = (np.concatenate([np.repeat(x[i], x[2]) for x in got]) for i in (0, 1))
+        all_h = np.concatenate([x[3] for x in got])
+        del got
+        bucket, made = TaskContext.get().partitionId(), 0
+        for r in W.parts_by_hash(all_h):
+            g, n, h = all_g[r], all_n[r], all_h[r]
             o = np.lexsort((g, n, h))
             g, n, h = g[o], n[o], h[o]
             st = C.runs(h)
@@ -181,7 +187,8 @@ def _group_pairs(groups: DataFrame, percent: int) -> DataFrame:
             pairs = np.unique(np.stack((x, y), 1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["run", "a", "b"])
             if long.any():
-                runs = (np.int64(bucket) << 32) + whose
+                runs = (np.int64(bucket) << 32) + made + whose
+                made += len(st)
                 yield pa.RecordBatch.from_arrays([pa.array(runs), pa.array(g[member]), pa.nulls(len(member), pa.int64())], names=["run", "a", "b"])
 
     return W.exchange(groups.mapInArrow(ask, W.BLOCK), settle, "run long, a long, b long")
@@ -266,20 +273,20 @@ def _whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _sets(docs: DataFrame, size: int) -> DataFrame:
+def _sets(docs: DataFrame, size: int, seed: int) -> DataFrame:
     def run(batches):
         for b in C.units(batches):
-            s = Shingles(b.column("text"), size)
+            s = Shingles(b.column("text"), size, seed)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([s.h[x:y].tobytes() for x, y in zip(s.first[:-1], s.first[1:], strict=True)], pa.binary())], names=["doc_id", "set"])
 
     return docs.mapInArrow(run, "doc_id long, set binary")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, seed: int) -> DataFrame:
     """The pairs (a, b) of documents that link, tested on their whole sets."""
     pairs = C.written(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = C.written(_sets(docs.join(ids, "doc_id", "left_semi"), size), "sets")
+    sets = C.written(_sets(docs.join(ids, "doc_id", "left_semi"), size, seed), "sets")
 
     def test(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -299,19 +306,20 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
 def ngram_join(documents: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, class_id, component_id: connected documents with Jaccard similarity >= percent / 100.
 
-    Words are runs without ASCII white space, A-Z folded; a set holds the distinct ``size``-word shingles as 64-bit hashes,
-    or the whole sequence for fewer words. Null or empty texts have no set and link with nothing. component_id is the
+    Words are runs without ASCII white space, A-Z folded; a set holds the distinct ``size``-word shingles as 64-bit hashes under a
+    seed drawn on the driver, or the whole sequence for fewer words. Null or empty texts have no set and link with nothing. component_id is the
     least doc_id reachable by links, class_id the least with the same set. Rows without an id get nulls; rows that repeat
     a doc_id count as one document if their texts agree (else each is joined under that id). Extra columns are ignored.
     """
     spark = documents.sparkSession
     docs = documents.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketched = _sketched(docs, size)
+    seed = C.secret()
+    sketched = _sketched(docs, size, seed)
     counts = spark.sparkContext.broadcast(_frequencies(sketched))
     rows = sketched.where("slice < 0").select("doc_id", "n", "sig")
     classes = C.written(rows.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
     # one row per class, then one per group of classes with the same prefix and size
-    own = _prefixes(docs, size, percent, counts).groupBy("sig").agg(F.min(F.struct("doc_id", "n", "prefix", "bits")).alias("r")).select(F.col("r.doc_id").alias("rep"), "r.n", "r.prefix", "r.bits")
+    own = _prefixes(docs, size, percent, counts, seed).groupBy("sig").agg(F.min(F.struct("doc_id", "n", "prefix", "bits")).alias("r")).select(F.col("r.doc_id").alias("rep"), "r.n", "r.prefix", "r.bits")
     own = C.written(own, "prefixes")
     members = own.select("rep", F.md5(F.concat(F.col("prefix"), F.encode(F.col("n").cast("string"), "UTF-8"))).alias("g"))
     leaders = members.groupBy("g").agg(F.min("rep").alias("gid"), F.count("*").alias("size"))
@@ -320,7 +328,7 @@ def ngram_join(documents: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     found = C.written(_group_pairs(groups, percent), "found")
     pairs = found.where("b is not null").select("a", "b").distinct()
     inner = members.where("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
-    first = C.written(_verified(_pruned(pairs.union(inner).distinct(), own, percent), docs, size, percent), "links")
+    first = C.written(_verified(_pruned(pairs.union(inner).distinct(), own, percent), docs, size, percent, seed), "links")
     parts = C.written(C.connected_components(first, "a", "b"), "parts")
     # second round: pairs of members that share a run or a group and are not connected yet
     labelled = members.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("gid", "rep", F.coalesce("component", "rep").alias("c"))
@@ -338,7 +346,7 @@ def ngram_join(documents: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     split = placed.groupBy("run").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("run")
     rest = placed.join(split, "run", "left_semi").select("run", "rep", "c", "n").join(own.select("rep", "bits").hint("merge"), "rep")
     more = _unconnected_pairs(rest, percent).distinct().join(pairs.union(inner), ["a", "b"], "left_anti")
-    second = _verified(more, docs, size, percent)
+    second = _verified(more, docs, size, percent, seed)
     links = first.union(second)
     parts = C.connected_components(C.written(links, "links"), "a", "b").withColumnRenamed("node", "rep")
     of = rows.join(classes, "sig").join(parts, "rep", "left").groupBy("doc_id").agg(F.max("n").alias("n_shingles"), F.min("rep").alias("class_id"), F.min(F.coalesce("component", "rep")).alias("component_id"))

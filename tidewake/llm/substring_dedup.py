@@ -16,69 +16,96 @@ U64 = np.uint64
 OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
 
 
-def repeated_windows(docs: DataFrame, n: int, lower: bool = False) -> DataFrame:
+def levels_of(n: int) -> list[int]:
+    """Lengths that double up to n: the first is n halved twice, rounded up (13: 4, 8, 13)."""
+    out = [max(1, -(-n // 4))]
+    while out[-1] < n:
+        out.append(min(2 * out[-1], n))
+    return out
+
+
+def repeated_windows(docs: DataFrame, copies: DataFrame, n: int, lower: bool = False) -> DataFrame:
     """(doc_id, payload): ranges of starts of n-word windows whose words also begin somewhere in a document with a smaller id.
 
-    Levels: seeds of ceil(n / 2) words, sampled so that each window holds one, then n words, which is twice that
-    (longer windows would cover nothing more, so doubling ends there). Only windows around a seed that repeats
-    in another text live on to the next level.
+    Levels, by ``levels_of``: the first looks up seeds sampled so that each n-word window holds one; each later level
+    extends what repeated in another text, and that alone, to twice the length around the same seed. The last level is
+    the n words themselves (longer windows would cover nothing more). A level without survivors ends the search. Words
+    and windows are hashed under seeds drawn on the driver; the last level compares 96 bits from two families.
     """
-    k = (n + 1) // 2
-    buckets = C.partitions(docs.sparkSession) * 8
-    copies = W.exact_copies(docs)
-    level = W.gathered(W.repeated_anchors(docs, "words", n, k, lower))
-    level = level.join(copies.select("doc_id"), "doc_id", "left_anti")
-    live = docs.join(level, "doc_id")
-
-    def ask(batches):
+    spark = docs.sparkSession
+    buckets, seed = C.partitions(spark), C.secret()
+    lengths = levels_of(n)
+    k = lengths[0]
+    live, before = docs, None
+    for length in lengths[:-1]:
+        found = C.written(W.repeated_anchors(live, "words", n, k, lower, length, before, seed), "level")
+        C.release(spark)
+        if found.isEmpty():
+            return found
+        level = W.gathered(found).join(copies.select("doc_id"), "doc_id", "left_anti")
+        # the text side is always shuffled, so the plan at any size is the plan at large sizes
+        live, before = docs.hint("merge").join(level, "doc_id"), length
+
+    def entries(batches):
         for b in C.units(batches):
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)
-            el = W.Elements(b.column("text"), "words", lower)
-            w, _, _ = W.candidate_windows(el, b.column("places").to_pylist(), n, k)
-            if not len(w):
-                continue
-            h, d = C.windows_of(el.e, n)[w], ids[el.doc[w]]
-            pos = w - el.first[el.doc[w]]
-            o = np.lexsort((d, h))
-            h, d, pos = h[o], d[o], pos[o]
-            st = C.runs(h)
-            later = d > d[st][C.group_ids(st, len(h))]
+            el = W.Elements(b.column("text"), "words", lower, seed)
+            if before:
+                w, at = el.inner(n, k, before)
+                w = w[el.marked(b.column("places").to_pylist())[at]]
+            else:
+                w, _ = el.inner(n, k, k)
+            d = el.doc[w]
+            yield C.windows_of(el.e, n, seed)[w], (C.windows_of(el.e, n, seed + 1)[w] >> U64(32)).astype(np.uint32), ids[d], (w - el.first[d]).astype(np.uint32)
+
+    def ask(batches):
+        for h, g, d, pos in W.gather(entries(batches)):
+            h, g, d, pos, later = _judged(h, g, d, pos)
             rows = list(W.range_blocks(*W.to_ranges(d[later], pos[later]), buckets))
-            h, d, pos = h[~later], d[~later], pos[~later]
-            rows += W._blocks((h % U64(buckets)).astype(np.int64), W.ASK, lambda r, h=h, d=d, pos=pos: W.pack(h[r], d[r], pos[r].astype(np.uint32)))
+            h, g, d, pos = h[~later], g[~later], d[~later], pos[~later]
+            rows += W._blocks((h % U64(buckets)).astype(np.int64), W.ASK, lambda r, h=h, g=g, d=d, pos=pos: W.pack(h[r], g[r], d[r], pos[r]))
             yield W.as_batch(rows, W.BLOCK_ARROW)
 
     def settle(batches):
-        for _, held in W.by_bucket(batches):
-            ranges, got = [], []
-            for what, payload in held:
-                if what == W.KNOWN:
-                    ranges.append(W.unpack(payload, np.int64, np.uint32, np.uint32))
-                else:
-                    got.append(W.unpack(payload, U64, np.int64, np.uint32))
-            if got:
-                h, i, p = (np.concatenate(x) for x in zip(*got, strict=True))
-                o = np.lexsort((i, h))
-                h, i, p = h[o], i[o], p[o]
-                st = C.runs(h)
-                later = i > i[st][C.group_ids(st, len(h))]
-                ranges.append(W.to_ranges(i[later], p[later]))
-            yield W.ranges_per_document(*(np.concatenate(x) for x in zip(*ranges, strict=True)))
+        got = []
+        for what, payload in W.blocks_of(batches):
+            if what == W.KNOWN:
+                yield W.ranges_per_document(*W.unpack(payload, np.int64, np.uint32, np.uint32))
+            else:
+                got.append(W.unpack(payload, U64, np.uint32, np.int64, np.uint32))
+        if got:
+            h, g, i, p = (np.concatenate(x) for x in zip(*got, strict=True))
+            del got
+            for r in W.parts_by_hash(h):
+                _, _, d, pos, later = _judged(h[r], g[r], i[r], p[r])
+                yield W.ranges_per_document(*W.to_ranges(d[later], pos[later]))
 
     return W.exchange(live.mapInArrow(ask, W.BLOCK), settle)
 
 
+def _judged(h: np.ndarray, g: np.ndarray, d: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The entries by hash and document, and which of them have an entry of a smaller document."""
+    o = np.lexsort((d, g, h))
+    h, g, d, pos = h[o], g[o], d[o], pos[o]
+    if not len(o):
+        return h, g, d, pos, np.zeros(0, bool)
+    st = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (g[1:] != g[:-1]))))
+    return h, g, d, pos, d > d[st][C.group_ids(st, len(h))]
+
+
 def substring_dedup(documents: DataFrame, n: int = 13) -> DataFrame:
     """Removes each word covered by an n-word window that also starts in a document with a smaller doc_id.
 
-    Words are runs without ASCII white space, compared by 64-bit hashes of their bytes. Returns one row per
+    Words are runs without ASCII white space. Returns one row per
     input row: doc_id, n_words, n_removed, kept_sha256, kept (the kept words joined by a space). A null or empty
     text has no words; a document shorter than a window, or without an id, loses nothing; rows that repeat a
     doc_id are not earlier than each other. Other columns are ignored.
     """
     docs = W.prepared(documents)
-    found = W.gathered(C.written(repeated_windows(docs, n), "repeats"))
-    copies = W.exact_copies(docs).withColumn("copy", F.lit(True))
+    copies = C.written(W.exact_copies(docs), "copies")
+    found = W.gathered(C.written(repeated_windows(docs, copies, n), "repeats"))
+    C.release(documents.sparkSession)
+    copies = copies.withColumn("copy", F.lit(True))
     marked = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text").join(found, "doc_id", "left").join(copies, ["doc_id", "th"], "left")
 
     def finish(batches):

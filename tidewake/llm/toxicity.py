@@ -47,14 +47,9 @@ class Words:
         lens = self.ends - self.starts
         slots = np.full((len(h), 1 + len(PREFIXES)), -1, np.int32)
         slots[:, 0] = (h >> U64(64 - SLOT_BITS)).astype(np.int32)
-        total, power = np.zeros(len(h), U64), U64(1)
-        padded = np.concatenate((self.buf, np.zeros(max(PREFIXES), np.uint8)))
-        for k in range(max(PREFIXES)):
-            total = total + C._TABLE_LOWER[padded[self.starts + k]] * power
-            power = U64((int(power) * int(C.PRIME)) & (2**64 - 1))
-            if k + 1 in PREFIXES:
-                has = lens > k
-                slots[has, 1 + PREFIXES.index(k + 1)] = (C.mix(total[has] + U64(1000 + k)) >> U64(64 - SLOT_BITS)).astype(np.int32)
+        for i, k in enumerate(PREFIXES):
+            has = np.flatnonzero(lens >= k)
+            slots[has, 1 + i] = (C.hashed(self.buf, self.starts[has], np.full(len(has), k), True, 1000 + k) >> U64(64 - SLOT_BITS)).astype(np.int32)
         self.slots = slots
         self.doc = np.repeat(np.arange(len(self.off) - 1), np.diff(self.first))
 

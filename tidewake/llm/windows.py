@@ -2,10 +2,10 @@
 
 A window is n consecutive elements. Each window names an anchor: the seed (k consecutive elements) in it
 with the least hash. Equal windows have equal anchors, so a window can repeat only where its anchor does.
-Round one therefore asks about anchors only, a few per cent of the positions; round two asks about windows
-whose anchor repeats in another text. A map task sends, per bucket of hashes, one binary block of
-columns; within a unit of documents what is known locally is settled there, so a passage that a third of
-all documents share costs two entries per unit, not one per document.
+Round one therefore asks about anchors only, a few per cent of the positions; later rounds ask about windows
+whose anchor repeats in another text. A map task sends, per partition of the next stage, one binary block of
+columns; what a task knows by itself is settled there, so a passage that a third of all documents share costs
+two entries per FLUSH entries, not one per document.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ ASK, KNOWN = 0, 1
 #: Positions hashed at once, so that the arrays between stay in a core's cache.
 STRIP = 1 << 14
 _INDEX_BITS = U64(32)
+#: Entries that a task gathers before it sends blocks, so that blocks stay large where partitions are many.
+FLUSH = 1 << 20
 BLOCK = "bucket int, kind int, payload binary"
 FOUND = "doc_id long, payload binary"
 
@@ -48,10 +50,10 @@ def unpack(block: bytes, *dtypes) -> list[np.ndarray]:
 class Elements:
     """Elements of a unit: hashes or bytes, the document of each, and the place of a document's first one."""
 
-    def __init__(self, col: pa.Array, kind: str, lower: bool = False):
-        self.buf, self.off = C.text_buffer(col)
+    def __init__(self, col: pa.Array, kind: str, lower: bool = False, seed: int = 0):
+        self.buf, self.off, self.seed = *C.text_buffer(col), seed
         if kind == "words":
-            self.e, self.starts, self.ends, self.first = C.words(self.buf, self.off, lower)
+            self.e, self.starts, self.ends, self.first = C.words(self.buf, self.off, lower, seed=seed)
         else:
             self.e, self.first = self.buf, self.off
         self.counts = np.diff(self.first)
@@ -59,7 +61,7 @@ class Elements:
 
     def seeds(self, k: int) -> np.ndarray:
         if self.e.dtype != np.uint8:
-            return C.windows_of(self.e, k)
+            return C.windows_of(self.e, k, self.seed)
         n = len(self.e) - k + 1
         if n <= 0:
             return np.zeros(0, U64)
@@ -90,6 +92,19 @@ class Elements:
         w = np.flatnonzero(ok)
         return w, at[w], s
 
+    def marked(self, places: list) -> np.ndarray:
+        """Which elements are among the places of their document."""
+        out = np.zeros(len(self.e) + 1, bool)
+        for d, cell in enumerate(places):
+            p = places_of(cell) + self.first[d]
+            out[p[p < self.first[d + 1]]] = True
+        return out
+
+    def inner(self, n: int, k: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """(window starts, start of the ``length`` elements around the anchor of each window): equal windows have equal ones."""
+        w, at, _ = self.anchors(n, k)
+        return w, np.minimum(at, w + n - length)
+
 
 def _blocks(order_key: np.ndarray, kind: int, columns: Callable[[np.ndarray], bytes]) -> Iterator[tuple[int, int, bytes]]:
     """One block per bucket; rows keep their order inside."""
@@ -122,6 +137,27 @@ def per_document(docs: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
     return as_batch([(int(docs[a]), pos[a:b].tobytes()) for a, b in zip(st, ends, strict=True)], FOUND_ARROW)
 
 
+def gather(parts: Iterator[tuple[np.ndarray, ...] | None], flush: int = FLUSH) -> Iterator[list[np.ndarray]]:
+    """Entries of several units (tuples of columns) until there are ``flush`` of them."""
+    held: list = []
+    n = 0
+    for part in parts:
+        if len(part[0]):
+            held.append(part)
+            n += len(part[0])
+        if n >= flush:
+            yield [np.concatenate(x) for x in zip(*held, strict=True)]
+            held, n = [], 0
+    if held:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
+    """(kind, payload) of all blocks of a partition."""
+    for b in batches:
+        yield from zip(b.column("kind").to_pylist(), b.column("payload").to_pylist(), strict=True)
+
+
 def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
     """Blocks of one bucket at a time, from batches sorted by bucket."""
     now, held = None, []
@@ -137,74 +173,91 @@ def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tup
 
 
 def exchange(blocks: DataFrame, reduce: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str = FOUND) -> DataFrame:
-    """Brings the blocks of a bucket together, one bucket in memory at a time."""
-    return blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(reduce, schema)
+    """Brings the blocks of a partition together; their bucket is the partition's number."""
+    return blocks.repartitionById(C.partitions(blocks.sparkSession), "bucket").mapInArrow(reduce, schema)
+
 
+def parts_by_hash(h: np.ndarray, limit: int = FLUSH) -> Iterator[np.ndarray]:
+    """Indices of entries, all entries of one hash together, about ``limit`` at once."""
+    n = -(-len(h) // limit)
+    if n <= 1:
+        yield np.arange(len(h))
+        return
+    which = ((C.mix(h.astype(U64)) >> U64(32)) * U64(n) >> U64(32)).astype(np.int64)
+    o = np.argsort(which, kind="stable")
+    yield from np.split(o, C.runs(which[o])[1:])
 
-def repeated_anchors(docs: DataFrame, kind: str, n: int, k: int, lower: bool = False, per_partition: int = 8) -> DataFrame:
+
+def repeated_anchors(docs: DataFrame, kind: str, n: int, k: int, lower: bool = False, length: int | None = None, before: int | None = None, seed: int = 0) -> DataFrame:
     """(doc_id, payload): per document, places of anchors that also occur in a different text.
 
-    docs: doc_id, th (a hash of the text), text. Only 32 bits of a seed's hash are compared beside its bucket, so a
-    few places may be reported that do not repeat; none that does is missed.
+    docs: doc_id, th (a hash of the text), text. An anchor is taken with ``length`` elements (k unless given). With
+    ``before``, docs have the places of the anchors of that length that repeated, and only their windows are looked at.
+    Only part of an anchor's hash is compared, so a few places may be reported that do not repeat; none that does is missed.
     """
-    buckets = C.partitions(docs.sparkSession) * per_partition
+    buckets, length = C.partitions(docs.sparkSession), length or k
 
-    def ask(batches):
+    def entries(batches):
         for b in C.units(batches):
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)
             th = b.column("th").to_numpy(zero_copy_only=False)
-            el = Elements(b.column("text"), kind, lower)
-            _, at, s = el.anchors(n, k)
+            el = Elements(b.column("text"), kind, lower, seed)
+            w, at = el.inner(n, k, length)
+            if before:
+                keep = el.marked(b.column("places").to_pylist())[el.inner(n, k, before)[1]]
+                at = at[keep]
             at = at[C.runs(at)]
-            if not len(at):
-                continue
-            d, pos, h = el.doc[at], at - el.first[el.doc[at]], s[at]
+            h = (el.seeds(k) if length == k else C.windows_of(el.e, length, seed))[at] if len(at) else np.zeros(0, U64)
+            d = el.doc[at]
+            yield ids[d], th[d], h, (at - el.first[d]).astype(np.uint32)
+
+    def ask(batches):
+        for ids, ts, h, pos in gather(entries(batches)):
             o = np.argsort(h, kind="stable")
-            ts, st = th[d[o]], C.runs(h[o])
+            st = C.runs(h[o])
             g = C.group_ids(st, len(o))
-            # the first entry of a second text, per hash that the unit knows to repeat
-            other = np.flatnonzero(ts != ts[st][g])
+            # the first entry of a second text, per hash that the task knows to repeat
+            other = np.flatnonzero(ts[o] != ts[o[st]][g])
             other = other[C.runs(g[other])]
             several = np.zeros(len(st), bool)
             several[g[other]] = True
             known = np.zeros(len(h), bool)
             known[o] = several[g]
-            rows = list(doc_blocks(ids[d[known]], pos[known], buckets))
-            # such a hash still tells others, by entries of two different texts: one may be the only text of another unit
+            rows = list(doc_blocks(ids[known], pos[known], buckets))
+            # such a hash still tells others, by entries of two different texts: one may be the only text of another task
             tell = ~known
             tell[o[st[several]]] = tell[o[other]] = True
-            d, pos, h = d[tell], pos[tell], h[tell]
+            ids, ts, h, pos = ids[tell], ts[tell], h[tell], pos[tell]
 
-            def columns(r, d=d, pos=pos, h=h, ids=ids, th=th):
-                st = C.runs(d[r])
-                return pack(ids[d[r][st]], th[d[r][st]], np.diff(np.concatenate((st, [len(r)]))).astype(np.uint32), (h[r] >> U64(32)).astype(np.uint32), pos[r].astype(np.uint32))
+            def columns(r, ids=ids, ts=ts, h=h, pos=pos):
+                st = C.runs(ids[r])
+                return pack(ids[r][st], ts[r][st], np.diff(np.concatenate((st, [len(r)]))).astype(np.uint32), (h[r] >> U64(32)).astype(np.uint32), pos[r])
 
             rows += _blocks(((h & U64(0xFFFFFFFF)) % U64(buckets)).astype(np.int64), ASK, columns)
             yield as_batch(rows, BLOCK_ARROW)
 
     def settle(batches):
-        for _, held in by_bucket(batches):
-            docs, pos, got = [], [], []
-            for what, payload in held:
-                if what == KNOWN:
-                    i, p = unpack(payload, np.int64, np.uint32)
-                    docs.append(i), pos.append(p)
-                else:
-                    i, t, c, h, p = unpack(payload, np.int64, np.int64, np.uint32, np.uint32, np.uint32)
-                    got.append((np.repeat(i, c), np.repeat(t, c), h, p))
-            if got:
-                i, t, h, p = (np.concatenate(x) for x in zip(*got, strict=True))
-                o = np.argsort(h, kind="stable")
+        got = []
+        for what, payload in blocks_of(batches):
+            if what == KNOWN:
+                yield per_document(*unpack(payload, np.int64, np.uint32))
+            else:
+                i, t, c, h, p = unpack(payload, np.int64, np.int64, np.uint32, np.uint32, np.uint32)
+                got.append((np.repeat(i, c), np.repeat(t, c), h, p))
+        if got:
+            i, t, h, p = (np.concatenate(x) for x in zip(*got, strict=True))
+            del got
+            for r in parts_by_hash(h):
+                o = r[np.argsort(h[r], kind="stable")]
                 st = C.runs(h[o])
                 several = (np.minimum.reduceat(t[o], st) != np.maximum.reduceat(t[o], st))[C.group_ids(st, len(o))]
-                docs.append(i[o][several]), pos.append(p[o][several])
-            yield per_document(np.concatenate(docs), np.concatenate(pos))
+                yield per_document(i[o][several], p[o][several])
 
     return exchange(docs.mapInArrow(ask, BLOCK), settle)
 
 
 def gathered(found: DataFrame) -> DataFrame:
-    """One row per document with its blocks of places; a document has at most one block per bucket and unit."""
+    """One row per document with its blocks of places; a document has at most one block per task and partition."""
     return found.groupBy("doc_id").agg(F.collect_list("payload").alias("places"))
 
 
@@ -214,17 +267,6 @@ def places_of(cell) -> np.ndarray:
     return np.unique(np.concatenate(parts)).astype(np.int64) if parts else np.zeros(0, np.int64)
 
 
-def candidate_windows(el: Elements, places: list, n: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(window starts, their anchors, seed hashes) of windows whose anchor is among the places of its document."""
-    w, at, s = el.anchors(n, k)
-    marked = np.zeros(len(el.e) + 1, bool)
-    for d, cell in enumerate(places):
-        p = places_of(cell) + el.first[d]
-        marked[p[p < el.first[d + 1]]] = True
-    keep = marked[at]
-    return w[keep], at[keep], s
-
-
 def to_ranges(docs: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, start, length) of the runs of consecutive places."""
     o = np.lexsort((pos, docs))
