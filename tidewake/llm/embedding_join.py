@@ -22,6 +22,17 @@ BLOCKS = "block long, label string, dim int, lo array<double>, hi array<double>,
 _BLOCKS_ARROW = pa.schema([("block", pa.int64()), ("label", pa.string()), ("dim", pa.int32()), ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64())), ("payload", pa.binary())])
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Vectors times the power of two that brings the largest component near 1; cosines stay as they are."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    """Vectors of length 1, without overflow or underflow of the norms of finite vectors."""
+    x = scaled(x)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def leading_axes(distinct: DataFrame, axes: int = AXES, sample: int = SAMPLE) -> dict[int, np.ndarray]:
     """Per dimension of vectors, the leading principal axes of a bounded sample (the first rows by hash)."""
     rows = distinct.select("embedding").orderBy(F.xxhash64("key")).limit(sample).collect()
@@ -30,8 +41,7 @@ def leading_axes(distinct: DataFrame, axes: int = AXES, sample: int = SAMPLE) ->
         by.setdefault(len(r.embedding), []).append(r.embedding)
     out = {}
     for d, x in by.items():
-        x = np.array(x, np.float64)
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        x = unit(np.array(x, np.float64))
         x -= x.mean(0)
         out[d] = np.linalg.svd(x, full_matrices=False)[2][:axes] if len(x) > 1 else np.eye(min(axes, d), d)
     return out
@@ -88,7 +98,8 @@ def embedding_join(embeddings: DataFrame, cosine: float = 0.98) -> DataFrame:
 
     Null, empty or zero vectors, ones with a null or non-finite component, and rows without a label or id link with
     nothing; vectors of different lengths do not link. Identical vectors with a label are collapsed first and counted,
-    so a vector with very many copies is joined once. A link counts rows, so a repeated row is another vector.
+    so a vector with very many copies is joined once. Vectors are scaled by a power of two before they are multiplied, so
+    very large and very small components neither overflow nor vanish. A link counts rows, so a repeated row is another vector.
     Extra columns are ignored.
     """
     spark = embeddings.sparkSession
@@ -106,7 +117,7 @@ def embedding_join(embeddings: DataFrame, cosine: float = 0.98) -> DataFrame:
                 rows = np.flatnonzero(lens == d)
                 t = b.take(pa.array(rows))
                 x = _matrix(t.column("embedding"))
-                p = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ _axes_for(axes, int(d)).T
+                p = unit(x) @ _axes_for(axes, int(d)).T
                 cells = np.floor(p / eps).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([t.column("label"), pa.array(np.full(len(rows), d, np.int32)), *[pa.array(cells[:, c]) for c in range(AXES)], t.column("rep"), t.column("weight"), t.column("embedding")], names=["label", "dim", *[f"c{c}" for c in range(AXES)], "rep", "weight", "embedding"])
 
@@ -119,8 +130,8 @@ def embedding_join(embeddings: DataFrame, cosine: float = 0.98) -> DataFrame:
 
         def flush():
             nonlocal made
-            x = np.array([r[2] for r in held], np.float64)
-            p = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ _axes_for(axes, key[1]).T
+            x = scaled(np.array([r[2] for r in held], np.float64))
+            p = unit(x) @ _axes_for(axes, key[1]).T
             made += 1
             payload = np.array([r[0] for r in held], np.int64).tobytes() + np.array([r[1] for r in held], np.int64).tobytes() + x.tobytes()
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip([[TaskContext.get().partitionId() << 32 | made], [key[0]], [key[1]], [p.min(0).tolist()], [p.max(0).tolist()], [payload]], _BLOCKS_ARROW, strict=True)], schema=_BLOCKS_ARROW)
@@ -136,11 +147,15 @@ def embedding_join(embeddings: DataFrame, cosine: float = 0.98) -> DataFrame:
             yield flush()
 
     blocks = C.written(cells.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(blocked, BLOCKS), "blocks")
-    # pairs of blocks that may hold a link: neighbouring cells on the first axis, then the distance of their boxes
-    near = blocks.select("block", "label", "dim", "lo", "hi").withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo")[0] / eps), F.floor(F.col("hi")[0] / eps) + 1)))
-    side = lambda s: near.select(F.col("block").alias(s), "label", "dim", "cell", F.col("lo").alias(f"lo_{s}"), F.col("hi").alias(f"hi_{s}"))
+    # pairs of blocks that may hold a link: neighbouring cells on the first two axes, then the distance of their boxes
+    cells_of = lambda c: F.explode(F.sequence(F.floor(F.col("lo")[c] / eps), F.floor(F.col("hi")[c] / eps) + 1))
+    several = blocks.groupBy("label", "dim").agg(F.count("*").alias("n"), F.min("block").alias("block"))
+    boxes = blocks.select("block", "label", "dim", "lo", "hi").join(several.where("n > 1").select("label", "dim"), ["label", "dim"])
+    near = boxes.withColumn("cell", cells_of(0)).withColumn("cell2", cells_of(1))
+    side = lambda s: near.select(F.col("block").alias(s), "label", "dim", "cell", "cell2", F.col("lo").alias(f"lo_{s}"), F.col("hi").alias(f"hi_{s}"))
     gap = sum((F.greatest(F.lit(0.0), F.col("lo_a")[c] - F.col("hi_b")[c], F.col("lo_b")[c] - F.col("hi_a")[c]) ** 2 for c in range(AXES)), F.lit(0.0))
-    pairs = side("a").join(side("b"), ["label", "dim", "cell"]).where((F.col("a") <= F.col("b")) & (gap <= eps * eps)).select("a", "b").distinct()
+    pairs = side("a").join(side("b"), ["label", "dim", "cell", "cell2"]).where((F.col("a") <= F.col("b")) & (gap <= eps * eps)).select("a", "b").distinct()
+    pairs = pairs.union(several.where("n = 1").select(F.col("block").alias("a"), F.col("block").alias("b")))
     held = blocks.select("block", "dim", "payload")
     both = pairs.join(held.select(F.col("block").alias("a"), F.col("dim").alias("dim"), F.col("payload").alias("pa")), "a").join(held.select(F.col("block").alias("b"), F.col("payload").alias("pb")), "b")
 
