@@ -5,12 +5,14 @@ import itertools
 import re
 import zlib
 
+import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidewake.llm import common, decontamination, line_dedup, ngram_join, packing, suffix_dedup, token_codec, toxicity, url_filter
+from tidewake.llm import common, decontamination, line_dedup, ngram_join, packing, queries, suffix_dedup, token_codec, toxicity, url_filter
 from tidewake.llm.embedding_join import embedding_join
 from tidewake.llm.substring_dedup import substring_dedup
 from tidewake.llm.tokens import rank_encoder, word_encoder
@@ -188,6 +190,24 @@ def test_embedding_join(spark):
     assert got == {v: (links[v], root[v], root[v] == v) for v in root}
 
 
+def test_embedding_join_of_extreme_and_repeated_vectors(spark):
+    rng = np.random.default_rng(4)
+    base = [rng.normal(size=6) for _ in range(40)]
+    rows = [(i * 4 + k, (v * m * (1 + (k == 3) * rng.normal(size=6) * 0.01)).tolist(), i % 3) for i, v in enumerate(base) for k, m in enumerate((1.0, 1e200, 1e-200, 1e300))]
+    rows += [(500, [5e-324, 0.0, 0.0, 0.0, 0.0, 0.0], 0), (501, [1.0, 0.0, 0.0, 0.0, 0.0, 0.0], 0), (502, [1.7e308] * 6, 0), (503, [1.0] * 6, 0)]
+    unit = {i: np.array(v) / np.abs(v).max() / np.linalg.norm(np.array(v) / np.abs(v).max()) for i, v, _ in rows}
+    links, root, label = {r[0]: 0 for r in rows}, {r[0]: r[0] for r in rows}, {r[0]: r[2] for r in rows}
+    pairs = [(a, b) for a, b in itertools.combinations(sorted(unit), 2) if label[a] == label[b] and unit[a] @ unit[b] >= 0.98]
+    for a, b in pairs:
+        links[a], links[b] = links[a] + 1, links[b] + 1
+    for _ in range(4):
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_join(df).collect()}
+    assert got == {v: (links[v], root[v]) for v in unit} and len(pairs) >= 240
+
+
 def test_token_codec(docs):
     from tokenizers import Tokenizer
 
@@ -386,14 +406,22 @@ def test_url_filter_rules_and_aliases(spark):
         (6, "http://q.info/a", link % "http://x.com/en/bad"), (7, "http://q.info/b", '<META http-equiv=refresh content="0; url=/a">'),
         (8, "http://q.info/c", link % "http://example.com/en/7"), (9, "http://q.info/c2", link % "http://q.info/c#f"), (10, "http://q.info/d", link % "http://q.info/d"),
         (11, "http://q.info/e", link % "http://q.info/c"), (12, "http://mycom/en/", ""), (13, "http://example.net/de/8", ""), (6, "http://q.info/a", link % "http://x.com/en/bad"),
+        (15, "http://q.info/dir/a?x", link % "bad.html"), (16, "http://q.info/dir/g", link % "http://y.com/en/w"), (17, "http://q.info/dir/bad.html", link % "../dir/./g"),
+        (18, "http://q.info/p", link % "?p=2"), (19, "http://q.info/p?p=2", link % "http://z.com/en/w"), (20, "http://q.info", link % "p?p=2#f"), (21, "http://q.info/dir/x", link % "mailto:a@b"),
+        (22, "http://q.info/dir/y", link % "#top"), (23, "http://q.info/r;1", '<meta http-equiv=refresh content="0; url=r;2">'), (24, "http://q.info/r;2", link % "//y.com/en/w"), (25, "http://q.info/a/b/c/d", link % "../../../../../p"),
         (14, "http://q.info/f", link % "http://example.com/en/7" + '<meta http-equiv="refresh" content="1;URL=\'http://x.com/en/z\'">'),
     ]
     df = spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, html string, host string, verdict string")
     got = {r.page_id: r for r in url_filter.url_filter(df).collect()}
     assert (got[1].host, got[1].path, got[1].rule, got[1].verdict) == ("a.example.com", "/en/7x", "example.com/en/7", "allow")
     assert [got[i].verdict for i in range(2, 15)] == ["block", "allow", "allow", "allow", "block", "block", "allow", "allow", "allow", "allow", "allow", "block", "allow"]
+    assert [got[i].verdict for i in range(15, 26)] == ["block", "block", "block", "block", "block", "block", "allow", "allow", "block", "block", "block"]
     assert got[4].host == "" and got[4].path == "" and got[3].host == "" and got[12].rule is None
     assert url_filter.url_filter(df).count() == len(rows) and url_filter.url_filter(df.limit(0)).count() == 0
+    con = duckdb.connect()
+    pages = pd.DataFrame({"page_id": [r[0] for r in rows], "url": [r[1] for r in rows], "html": [r[2] for r in rows]})  # noqa: F841, read by name
+    want = con.execute(queries.ORACLE["op3_url_filter"]).fetchall()
+    assert {r[0]: r[1:] for r in want} == {i: (r.host, r.path, r.rule, r.verdict) for i, r in got.items()}
 
 
 def test_rule_table_agrees_with_the_rule_list(spark):

@@ -42,10 +42,13 @@ ORACLE = {
     # the links of the pages, their transitive closure and the spread verdicts, then the rules
     "op3_url_filter": r"""
 with recursive rules as (select * from (values ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'), ('net', '/de/', 'allow'), ('example.net', '/de/8', 'block'), ('org', '/es/', 'block')) r(h, p, v)),
-tags as (select url, regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) a,
-  regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*["'']?([^"''\s>;]+)', 1) b from pages where url is not null and html is not null),
-targets as (select url, replace(t, '&amp;', '&') t from (select url, unnest([a, b]) t from tags) where t <> ''),
-links as (select distinct url, case when contains(t, '://') then t when starts_with(t, '//') then 'http:' || t when starts_with(t, '/') then 'http://' || regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1) || t end t from targets),
+tags as (select url, list_concat(list_transform(regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), lambda x: regexp_extract(x, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
+  list_transform(regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), lambda x: regexp_extract(x, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1))) a from pages where url is not null and html is not null and contains(url, '://')),
+targets as (select url, replace(t, '&amp;', '&') t, regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1) site, regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) own from (select url, unnest(a) t from tags) where t <> ''),
+merged as (select *, string_split(case when starts_with(t, '/') then regexp_extract(t, '(?s)^[^?#]*') else case when own = '' then '/' else regexp_replace(own, '[^/]*$', '') end || regexp_extract(t, '(?s)^[^?#]*') end, '/') s from targets),
+walked as (select *, list_reduce(list_transform(s, lambda x: [x]), lambda d, x: case when x[1] = '.' then d when x[1] = '..' then d[1 : greatest(len(d) - 1, 1)] else list_concat(d, x) end) w from merged),
+links as (select distinct url, case when regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') then t when regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') or starts_with(t, '#') then null when starts_with(t, '//') then 'http:' || t when starts_with(t, '?') then 'http://' || site || own || t
+  else 'http://' || site || array_to_string(w, '/') || case when s[-1] in ('.', '..') or array_to_string(w, '/') = '' then '/' else '' end || regexp_extract(t, '(?s)^[^?#]*(.*)$', 1) end t from walked),
 urls as (select distinct url u from pages where url is not null union select t from links where t is not null),
 named as (select u, translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host, regexp_extract(u, '(?s)^.*?://[^/?#]*([^?#]*)', 1) path, regexp_extract(u, '(?s)^.*?://[^/?#]*[^?#]*(\?[^#]*)', 1) query from urls),
 judged as (select u, host, path, case when contains(u, '://') then host || path || query end node,

@@ -50,20 +50,44 @@ def matched_by_table(pages: DataFrame, rules: DataFrame) -> DataFrame:
     return pages.join(best, "key", "left")
 
 
-def alias_links(pages: DataFrame) -> DataFrame:
-    """(url, target): the first canonical link and the first refresh redirect of each page.
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
+
+
+def without_dots(path: Column) -> Column:
+    """A path from its leading / on, without . and .. segments."""
+    parts = F.split(path, "/")
+    walked = F.aggregate(
+        F.slice(parts, 2, F.size(parts)),
+        F.array(F.lit("")),
+        lambda done, x: F.when(x == ".", done).when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))).otherwise(F.concat(done, F.array(x))),
+    )
+    joined = F.array_join(walked, "/")
+    return F.when(F.element_at(parts, -1).isin(".", "..") | (joined == ""), F.concat(joined, F.lit("/"))).otherwise(joined)
+
+
+def resolved(url: Column, target: Column) -> Column:
+    """The address that a link's target names on the page ``url``; null for the page itself and for schemes without ://."""
+    split = r"(?s)^([^?#]*)(.*)$"
+    rooted = F.regexp_extract(target, split, 1)
+    base = F.regexp_replace(path_of(url), "[^/]*$", "")
+    merged = F.when(rooted.startswith("/"), rooted).otherwise(F.concat(F.when(base == "", "/").otherwise(base), rooted))
+    site = F.concat(F.lit("http://"), host_of(url))
+    return (
+        F.when(target.rlike(_SCHEME + "//"), target)
+        .when(target.rlike(_SCHEME) | target.startswith("#"), None)
+        .when(target.startswith("//"), F.concat(F.lit("http:"), target))
+        .when(target.startswith("?"), F.concat(site, path_of(url), target))
+        .otherwise(F.concat(site, without_dots(merged), F.regexp_extract(target, split, 2)))
+    )
 
-    Targets that begin with // or / are resolved against the page's host. Others without :// (page2.html, ../en/9, ?p=2)
-    give no link, and a refresh target ends at ; as in the SQL twin.
-    """
-    tag = lambda pattern: F.regexp_extract("html", pattern, 0)
-    canonical = F.regexp_extract(tag(r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"), r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    refresh = F.regexp_extract(tag(r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"), r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)", 1)
-    t = F.replace(F.col("target"), F.lit("&amp;"), F.lit("&"))
-    url = F.col("url")
-    resolved = F.when(t.contains("://"), t).when(t.startswith("//"), F.concat(F.lit("http:"), t)).when(t.startswith("/"), F.concat(F.lit("http://"), host_of(url), t))
-    out = pages.where("url is not null and html is not null").select("url", F.explode(F.array_distinct(F.array(canonical, refresh))).alias("target")).where("target <> ''")
-    return out.select("url", resolved.alias("target")).where("target is not null")
+
+def alias_links(pages: DataFrame) -> DataFrame:
+    """(url, target): the canonical links and refresh redirects of each page, relative targets resolved against its url."""
+    inside = lambda tag, value: F.transform(F.regexp_extract_all("html", F.lit(tag), F.lit(0)), lambda x: F.regexp_extract(x, value, 1))
+    canonical = inside(r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)")
+    refresh = inside(r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)")
+    out = pages.where("url is not null and html is not null and contains(url, '://')").select("url", F.explode(F.array_distinct(F.concat(canonical, refresh))).alias("target")).where("target <> ''")
+    return out.select("url", resolved(F.col("url"), F.replace(F.col("target"), F.lit("&amp;"), F.lit("&"))).alias("target")).where("target is not null")
 
 
 def url_filter(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None, links: DataFrame | None = None) -> DataFrame:
