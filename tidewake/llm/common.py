@@ -185,6 +185,20 @@ def group_ids(starts: np.ndarray, n: int) -> np.ndarray:
     return np.repeat(np.arange(len(starts)), np.diff(np.concatenate((starts, [n]))))
 
 
+ROW = "__row_id"
+
+
+def with_row_ids(docs: DataFrame) -> DataFrame:
+    """docs with a long ROW: doc_id where all rows that have it agree in text, else 2 ** 62 and more by a hash of doc_id and text.
+
+    So rows without a doc_id, or that share one but not the text, come after all others; equal rows get the same.
+    """
+    th = F.xxhash64("text")
+    split = written(docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(th).alias("a"), F.max(th).alias("b")).where("a <> b").select("doc_id", F.lit(True).alias("__split")), "split")
+    other = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2)
+    return docs.join(split, "doc_id", "left").withColumn(ROW, F.when(F.col("doc_id").isNull() | F.col("__split"), other).otherwise(F.col("doc_id").cast("long"))).select(*docs.columns, ROW)
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(node, component): the smallest node reachable over undirected edges, for all nodes with an edge.
 

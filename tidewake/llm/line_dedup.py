@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewake.llm import common as C
 
@@ -58,16 +59,16 @@ def line_dedup(documents: DataFrame, min_lines: int = LINES) -> DataFrame:
     return _without(documents, chunks_of, min_lines)
 
 
-def line_runs(documents: DataFrame) -> DataFrame:
+def line_runs(documents: DataFrame, carry: str | None = None) -> DataFrame:
     """doc_id, n_lines, n_removed, kept: each text without the lines in a run of two or more that earlier places have.
 
     A line goes if it and a neighbour also follow each other at an earlier place; of a longer run every line does. Lines,
-    blank ones too, places, nulls and repeated rows count as in ``line_dedup``.
+    blank ones too, places, nulls and repeated rows count as in ``line_dedup``. The column named by ``carry`` is passed on.
     """
-    return _without(documents, pairs_of, 2)
+    return _without(documents, pairs_of, 2, carry)
 
 
-def _without(documents: DataFrame, spans_of: Callable[[list[bytes]], list[tuple[int, int]]], min_lines: int) -> DataFrame:
+def _without(documents: DataFrame, spans_of: Callable[[list[bytes]], list[tuple[int, int]]], min_lines: int, carry: str | None = None) -> DataFrame:
     """Each text without the spans of at least ``min_lines`` lines that an earlier place has; spans may overlap."""
     docs = documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
 
@@ -119,5 +120,15 @@ def _without(documents: DataFrame, spans_of: Callable[[list[bytes]], list[tuple[
                 rows.append((d, len(lines), len(lines) - len(kept), b"\n".join(kept).decode()))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), [pa.int64(), pa.int64(), pa.int64(), pa.string()], strict=True)], names=["doc_id", "n_lines", "n_removed", "kept"])
 
-    all_rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    return all_rows.hint("merge").join(C.written(gone, "gone"), ["doc_id", "th"], "left").select("doc_id", "text", "gone").mapInArrow(finish, "doc_id long, n_lines long, n_removed long, kept string")
+    def carried(batches):
+        for b in C.units(batches):
+            for out in finish(iter([b])):
+                yield pa.RecordBatch.from_arrays([*out.columns, b.column("__row")], names=[*out.schema.names, carry])
+
+    own = [F.col(carry).alias("__row")] if carry else []
+    all_rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text", *own)
+    joined = all_rows.hint("merge").join(C.written(gone, "gone"), ["doc_id", "th"], "left").select("doc_id", "text", "gone", *["__row"][: len(own)])
+    schema = "doc_id long, n_lines long, n_removed long, kept string"
+    if carry:
+        return joined.mapInArrow(carried, T.StructType.fromDDL(schema).add(carry, documents.schema[carry].dataType))
+    return joined.mapInArrow(finish, schema)

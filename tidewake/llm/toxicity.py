@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewake.llm import common as C
 
@@ -187,11 +188,12 @@ def training_sample(documents: DataFrame, labels: DataFrame, size: tuple[int, in
     return [r.text for r in rows], np.array([r.toxic for r in rows], np.int64)
 
 
-def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, field: Field | None = None) -> DataFrame:
+def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, field: Field | None = None, carry: bool = False) -> DataFrame:
     """doc_id, held_out, score, predicted, n_toxic_words, spans: every whole text scored; spans are byte offsets of toxic words in its UTF-8 form.
 
     Null and empty texts have no words and get the score of a text without toxic words. Rows without a doc_id are scored
-    and not held out; repeated rows get the same score. Extra columns are ignored.
+    and not held out; repeated rows get the same score. Extra columns are ignored, unless ``carry`` asks for each whole
+    input row in a struct ``row``.
     """
     f = field or fit(*training_sample(documents, labels))
     shared = documents.sparkSession.sparkContext.broadcast(f)  # SLOTS weights, whatever the input
@@ -208,8 +210,11 @@ def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
             each = np.bincount(w.doc[hit], minlength=n)
             flat = pa.StructArray.from_arrays([pa.array((w.starts[hit] - base).astype(np.int32)), pa.array((w.ends[hit] - base).astype(np.int32))], ["start", "end"])
             spans = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(each))).astype(np.int32)), flat)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(score), pa.array(each.astype(np.int64)), spans], names=["doc_id", "held_out", "score", "n_toxic_words", "spans"])
-
-    d = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "text")
-    out = d.mapInArrow(run, "doc_id long, held_out boolean, score double, n_toxic_words long, spans array<struct<start:int,end:int>>")
-    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int")).select("doc_id", "held_out", "score", "predicted", "n_toxic_words", "spans")
+            whole = [b.column("row")] if carry else []
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(score), pa.array(each.astype(np.int64)), spans, *whole], names=["doc_id", "held_out", "score", "n_toxic_words", "spans", *["row"][: len(whole)]])
+
+    row = [F.struct(*documents.columns).alias("row")] if carry else []
+    d = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "text", *row)
+    schema = "doc_id long, held_out boolean, score double, n_toxic_words long, spans array<struct<start:int,end:int>>"
+    out = d.mapInArrow(run, T.StructType([*T.StructType.fromDDL(schema).fields, *d.schema.fields[3:]]))
+    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int")).select("doc_id", "held_out", "score", "predicted", "n_toxic_words", "spans", *["row"][: len(row)])
