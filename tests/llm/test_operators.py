@@ -351,6 +351,46 @@ def test_decontaminate(spark):
     assert got[1, 10].score == 1.0 and (got[1, 10].first_word, got[1, 10].end_word) == (50, 90) and 0.5 <= got[2, 10].score < 1
 
 
+def full_alignment(a: list, b: list) -> int:
+    row, best = [0] * (len(b) + 1), 0
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(max(0, row[j] + (2 if x == y else -1), row[j + 1] - 1, new[j] - 1))
+        row, best = new, max(best, *new)
+    return best
+
+
+def test_decontaminate_against_full_alignment(spark):
+    """Every pair that shares three words in a row, by the full table: edits of all kinds, ties, repeats and a very long text."""
+    rng = np.random.default_rng(77)
+    items = {i: sentence(600 + i, int(rng.integers(5, 45))).split() for i in range(8)}
+    items[8] = list(items[0])  # two items with one text
+    docs = {}
+    for i in range(90):
+        words, out = items[i % 9], []
+        for j, w in enumerate(words):
+            kind = rng.random()
+            out += [] if kind < 0.08 else ["zz"] if kind < 0.2 else [w] if kind < 0.75 else ["yy"] * int(rng.integers(1, 4)) + [w]
+        docs[i] = sentence(700 + i, int(rng.integers(0, 30))).split() + out + sentence(800 + i, int(rng.integers(0, 30))).split()
+    first = items[1]
+    docs[90] = first[:3] + [x for k, w in enumerate(first[3:]) for x in (["foreign", "words"] if k % 2 else []) + [w]]
+    docs[91] = sentence(950, 3000).split() + items[2] + sentence(951, 9000).split() + items[2] + items[3]
+    rows = [(d, " ".join(w)) for d, w in docs.items()] + [(90, " ".join(docs[90]))]
+    bench = [(i, " ".join(w)) for i, w in items.items()]
+    want = {}
+    for d, w in docs.items():
+        for i, own in items.items():
+            seeds = {tuple(own[k : k + 3]) for k in range(len(own) - 2)}
+            if any(tuple(w[k : k + 3]) in seeds for k in range(len(w) - 2)):
+                score = full_alignment(own, w) / (2 * len(own))
+                if score >= 0.5:
+                    want[d, i] = score
+    got = decontamination.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): r.score for r in got} == pytest.approx(want) and (90, 1) in want and len(want) > 60
+    assert len(got) == len(want) + sum(d == 90 for d, _ in want)
+
+
 def test_edited_copy_leaked_into_many_documents(spark):
     words = sentence(301, 60).split()
     # spread edits break the item's own seeds; what is left is in every document

@@ -132,10 +132,12 @@ def _searched(docs: DataFrame, items: list, threshold: float, k: int) -> DataFra
                 o = np.lexsort((pos, it, d))
                 d, it, pos, pl, lens = d[o], it[o], pos[o], pl[o], lens[o]
                 new = np.ones(len(o), bool)
-                new[1:] = (d[1:] != d[:-1]) | (it[1:] != it[:-1]) | (np.diff(pos) > 2 * lens[1:])
+                # foreign words in an alignment of n item words cost GAP each, so at the threshold there are ``room`` at most
+                room = np.floor(MATCH * (1 - threshold) * lens / -GAP).astype(np.int64)
+                new[1:] = (d[1:] != d[:-1]) | (it[1:] != it[:-1]) | (np.diff(pos) > 2 * (lens + room)[1:])
                 st = np.flatnonzero(new)
-                lo = np.minimum.reduceat(pos - pl - lens // 2, st)
-                hi = np.maximum.reduceat(pos - pl + lens + lens // 2, st)
+                lo = np.minimum.reduceat(pos - pl - room, st)
+                hi = np.maximum.reduceat(pos - pl + lens + room, st)
                 docs_ids = b.column("doc_id").to_pylist()
                 best: dict[tuple[int, int], tuple] = {}
                 aligned: dict[tuple[int, bytes], tuple[int, int, int]] = {}
