@@ -291,8 +291,37 @@ def test_crossover_keeps_every_item_once():
     for child in (packing.crossover(a, b, sizes, rng), packing.mutated(b, sizes, rng)):
         assert sorted(i for x in child.items for i in x) == list(range(200))
         assert all(sum(sizes[i] for i in x) == 100 - g for x, g in zip(child.items, child.gap))
-    best = packing.evolve(sizes, [], 100, 1)
-    assert best.fitness() <= a.fitness()
+
+
+def test_generations_save_bins():
+    """Pieces of full bins: the founders and best-fit decreasing need more bins than crossover leaves."""
+    import random
+
+    for seed in range(6):
+        rng, sizes = random.Random(seed), []
+        for _ in range(30):
+            a, b = rng.randint(200, 480), rng.randint(200, 480)
+            while not 200 <= 1000 - a - b <= 580:
+                a, b = rng.randint(200, 480), rng.randint(200, 480)
+            sizes += [a, b, 1000 - a - b]
+        rng.shuffle(sizes)
+        decreasing = len(packing.packed(sorted(range(90), key=lambda i: -sizes[i]), sizes, 1000).items)
+        first = min(len(packing.founder(sizes, 1000, random.Random(k)).items) for k in range(packing.POPULATION))
+        best, made = packing.evolve(sizes, [], 1000, seed, generations=60)
+        assert sorted(i for x in best.items for i in x) == list(range(90)) and made > 0
+        assert 30 <= len(best.items) < min(first, decreasing)
+
+
+def test_packing_needs_the_fewest_sequences(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    r = packing.packing(documents).agg(F.countDistinct("sequence_id").alias("n"), F.sum("length").alias("t"), F.max("generations").alias("g")).first()
+    assert r.n == -(-r.t // 2048) and r.g > 0
+
+
+def test_packing_of_many_cells(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    r = packing.packing(documents, cell=150).groupBy("sequence_id").agg(F.sum("length").alias("t")).agg(F.count("*").alias("n"), F.sum("t").alias("t"), F.max("t").alias("m")).first()
+    assert r.m <= 2048 and r.n <= -(-r.t // 2048) + 2
 
 
 def test_line_dedup(spark):
