@@ -440,16 +440,29 @@ def test_smith_waterman_against_the_full_table():
         assert decontamination.smith_waterman(a, b)[0] == h.max()
 
 
-def test_field_marginals_against_enumeration():
+@pytest.mark.parametrize("segment", [1, 2, 3, 64])
+def test_field_marginals_against_enumeration(segment, monkeypatch):
+    monkeypatch.setattr(toxicity, "SEGMENT", segment)
     f = toxicity.Field(np.zeros(4), np.array([0.1, -0.4]), np.array([[0.3, -0.8], [-0.2, 0.5]]), np.zeros(3))
-    score = np.array([0.5, -1.0, 2.0, 0.1])
-    p, pairs, first, _ = toxicity.marginals(score, np.zeros(4, int), np.arange(4), f)
-    total, want = 0.0, np.zeros(4)
-    for y in itertools.product((0, 1), repeat=4):
-        e = np.exp(f.start[y[0]] + sum(f.step[y[i], y[i + 1]] for i in range(3)) + sum(s for s, t in zip(score, y) if t))
-        total += e
-        want += e * np.array(y)
-    assert np.allclose(p, want / total) and np.isclose(pairs.sum(), 3) and np.isclose(first.sum(), 1)
+    rng = np.random.default_rng(2)
+    lens = [7, 1, 4, 8]
+    score = rng.normal(size=sum(lens)) * 2
+    got = toxicity.marginals(score, np.repeat([0, 2, 3, 9], lens), f)
+    want, pairs, first, log_z, at = [], np.zeros((2, 2)), np.zeros(2), 0.0, 0
+    for n in lens:
+        own = score[at : at + n]
+        at += n
+        total, p, q, r = 0.0, np.zeros(n), np.zeros((2, 2)), np.zeros(2)
+        for y in itertools.product((0, 1), repeat=n):
+            e = np.exp(f.start[y[0]] + sum(f.step[y[i], y[i + 1]] for i in range(n - 1)) + sum(s for s, t in zip(own, y) if t))
+            total += e
+            p += e * np.array(y)
+            r[y[0]] += e
+            for i in range(n - 1):
+                q[y[i], y[i + 1]] += e
+        want += (p / total).tolist()
+        pairs, first, log_z = pairs + q / total, first + r / total, log_z + np.log(total)
+    assert np.allclose(got[0], want) and np.allclose(got[1], pairs) and np.allclose(got[2], first) and np.isclose(got[3], log_z)
 
 
 def test_toxicity_on_held_out_labels(spark):
@@ -457,7 +470,7 @@ def test_toxicity_on_held_out_labels(spark):
     documents, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
     got = toxicity.toxicity(documents, labels).join(labels, "doc_id").where("held_out")
     hit = {(r.toxic, r.predicted): r.n for r in got.groupBy("toxic", "predicted").agg(F.count("*").alias("n")).collect()}
-    assert hit.get((0, 1), 0) <= 0.01 * hit[0, 0] and hit[1, 1] >= 0.6 * (hit[1, 1] + hit.get((1, 0), 0))
+    assert hit.get((0, 1), 0) <= 0.01 * hit[0, 0] and hit[1, 1] >= 0.9 * (hit[1, 1] + hit.get((1, 0), 0)), hit
 
 
 def test_toxicity_of_odd_rows(docs, empty, spark):

@@ -21,14 +21,14 @@ from tidewake.llm import common as C
 U64 = np.uint64
 SLOT_BITS = 21
 SLOTS = 1 << SLOT_BITS
-PREFIXES = (4, 5, 6)
-#: Words of a chain; longer documents are several chains.
-CHAIN = 64
+PREFIXES = (5, 6, 7, 8)
+#: Words handled in step; a longer document is several segments of one chain, joined by their transfer matrices.
+SEGMENT = 64
 #: Sampled training documents that are clean and toxic, and the longest text (in characters) that is sampled.
 SAMPLE, LONGEST = (2000, 1000), 8_000
 THRESHOLD = 0.7
 #: A feature marks words if it is in this many toxic documents, or this share of them, and so many times likelier there.
-_EPOCHS, _MIN_DOCS, _MIN_SHARE, _ODDS = 30, 6, 0.015, 40.0
+_EPOCHS, _MIN_DOCS, _MIN_SHARE, _ODDS = 30, 4, 0.015, 20.0
 
 
 @dataclass
@@ -57,47 +57,73 @@ class Words:
     def scores(self, weights: np.ndarray) -> np.ndarray:
         return np.append(weights, np.float32(0))[self.slots].sum(1, dtype=np.float64)
 
-    def chains(self) -> tuple[np.ndarray, np.ndarray]:
-        """(chain, place in it) of each word."""
-        inner = np.arange(len(self.doc)) - self.first[self.doc]
-        new = inner % CHAIN == 0
-        return np.cumsum(new) - 1, inner % CHAIN
-
-
-def marginals(score: np.ndarray, chain: np.ndarray, place: np.ndarray, f: Field) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """(P(toxic) of each word, expected transitions, expected starts, log-likelihood's partition) by forward-backward over all chains at once."""
-    n = int(chain[-1]) + 1 if len(chain) else 0
-    e = np.zeros((CHAIN, n))
-    live = np.zeros((CHAIN, n), bool)
-    e[place, chain] = np.clip(score, -30, 30)
-    live[place, chain] = True
-    x = np.exp(e)
+
+def marginals(score: np.ndarray, doc: np.ndarray, f: Field) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """(P(toxic) of each word, expected transitions, expected starts, log of the partition) by forward-backward; a document's words are one chain.
+
+    doc: the document of each word, in order. Segments of SEGMENT words run in step: first the transfer matrix of each,
+    then messages from segment to segment of a document, then the words inside.
+    """
+    if not len(score):
+        return np.zeros(0), np.zeros((2, 2)), np.zeros(2), 0.0
+    begin = C.runs(doc)
+    inner = np.arange(len(doc)) - np.repeat(begin, np.diff(np.concatenate((begin, [len(doc)]))))
+    place = inner % SEGMENT
+    head = np.flatnonzero(place == 0)
+    seg = np.cumsum(place == 0) - 1
+    n, order = len(head), inner[head] // SEGMENT  # order: which segment of its document
+    last = np.append(order[1:] == 0, True)
+    steps = int(place.max()) + 1
+    x = np.ones((steps, n))
+    x[place, seg] = np.exp(np.clip(score, -30, 30))
+    live = np.zeros((steps, n), bool)
+    live[place, seg] = True
     a = np.exp(f.step)
-    steps = int(place.max()) + 1 if n else 0
+    start = np.exp(f.start)
+    # into[s]: what reaches the first word of segment s; out[s]: what comes back to its last word
+    into, out = np.repeat(start[:, None], n, 1), np.ones((2, n))
+    if n > len(begin):
+        m = np.zeros((2, 2, n))  # from a state of the first word to a state of the last
+        m[0, 0], m[1, 1] = 1.0, x[0]
+        for t in range(1, steps):
+            on = live[t]
+            step = np.stack((m[:, 0] * a[0, 0] + m[:, 1] * a[1, 0], (m[:, 0] * a[0, 1] + m[:, 1] * a[1, 1]) * x[t]), 1)
+            m = np.where(on, step / step.sum((0, 1)), m)
+        by = np.argsort(order, kind="stable")
+        levels = np.split(by, C.runs(order[by])[1:])
+        for level in levels[1:]:
+            v = (into[:, None, level - 1] * m[:, :, level - 1]).sum(0)
+            v /= v.sum(0)
+            into[:, level] = v[0] * a[0][:, None] + v[1] * a[1][:, None]
+        for level in reversed(levels[1:]):
+            v = (m[:, :, level] * out[None, :, level]).sum(1)
+            back = a[:, 0][:, None] * v[0] + a[:, 1][:, None] * v[1]
+            out[:, level - 1] = back / back.sum(0)
     alpha, scale = np.zeros((steps, 2, n)), np.ones((steps, n))
-    now = np.stack((np.full(n, np.exp(f.start[0])), np.exp(f.start[1]) * x[0])) if n else np.zeros((2, 0))
+    now = np.stack((into[0], into[1] * x[0]))
     for t in range(steps):
         if t:
-            now = np.stack((p[0] * a[0, 0] + p[1] * a[1, 0], (p[0] * a[0, 1] + p[1] * a[1, 1]) * x[t]))
+            now = np.where(live[t], np.stack((p[0] * a[0, 0] + p[1] * a[1, 0], (p[0] * a[0, 1] + p[1] * a[1, 1]) * x[t])), p)
         scale[t] = now.sum(0)
         p = now / scale[t]
         alpha[t] = p
-    beta = np.ones((2, n))
-    out = np.zeros((CHAIN, n))
-    pairs = np.zeros((2, 2))
+    beta = out / (p * out).sum(0)
+    toxic, pairs = np.zeros((steps, n)), np.zeros((2, 2))
     for t in range(steps - 1, -1, -1):
-        if t + 1 < steps:
-            on = live[t + 1]
-            ahead = np.stack((beta[0], beta[1] * x[t + 1])) / scale[t + 1]
+        toxic[t] = alpha[t, 1] * beta[1]
+        on = live[t]
+        ahead = np.stack((beta[0], beta[1] * x[t])) / scale[t]
+        if t:
             for i in (0, 1):
                 for j in (0, 1):
-                    pairs[i, j] += (alpha[t, i] * a[i, j] * ahead[j])[on].sum()
-            beta = np.where(on, np.stack((a[0, 0] * ahead[0] + a[0, 1] * ahead[1], a[1, 0] * ahead[0] + a[1, 1] * ahead[1])), 1.0)
-        both = alpha[t] * beta
-        out[t] = both[1] / np.maximum(both.sum(0), 1e-300)
-    p = out[place, chain]
-    first = np.array([(1 - out[0]).sum(), out[0].sum()]) if n else np.zeros(2)
-    return p, pairs, first, float(np.log(scale)[live[:steps]].sum()) if n else 0.0
+                    pairs[i, j] += (alpha[t - 1, i] * a[i, j] * ahead[j])[on].sum()
+            beta = np.where(on, np.stack((a[0, 0] * ahead[0] + a[0, 1] * ahead[1], a[1, 0] * ahead[0] + a[1, 1] * ahead[1])), beta)
+    later = np.flatnonzero(order > 0)  # transitions from segment to segment
+    if len(later):
+        w = p[:, None, later - 1] * a[:, :, None] * ahead[None, :, later]
+        pairs += (w / w.sum((0, 1))).sum(2)
+    first = toxic[0][order == 0]
+    return toxic[place, seg], pairs, np.array([(1 - first).sum(), first.sum()]), float(np.log(scale)[live].sum())
 
 
 def _document_features(p: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
@@ -146,22 +172,21 @@ def fit(texts: list[str], toxic: np.ndarray) -> Field:
     marks = (in_toxic >= max(_MIN_DOCS, _MIN_SHARE * n1)) & (in_toxic / n1 >= _ODDS * (in_clean + 0.1) / n0)
     y = np.append(marks, False)[w.slots].any(1) & (toxic[w.doc] == 1)
     there = flat >= 0
-    chain, place = w.chains()
-    same = np.append(chain[1:] == chain[:-1], False)
     seen_pairs = np.zeros((2, 2))
-    at = np.flatnonzero(same)
+    at = np.flatnonzero(w.doc[1:] == w.doc[:-1])
     np.add.at(seen_pairs, (y[at].astype(int), y[at + 1].astype(int)), 1)
-    seen_first = np.array([(~y[place == 0]).sum(), y[place == 0].sum()])
+    heads = y[C.runs(w.doc)]
+    seen_first = np.array([(~heads).sum(), heads.sum()])
     g2 = [np.full(SLOTS, 1e-3, np.float32), np.full(2, 1e-3), np.full((2, 2), 1e-3)]
     f.start, f.step = np.array([0.0, -2.0]), np.array([[0.0, -2.0], [0.0, -2.0]])
     for _ in range(_EPOCHS):
-        p, pairs, first, _ = marginals(w.scores(f.weights), chain, place, f)
+        p, pairs, first, _ = marginals(w.scores(f.weights), w.doc, f)
         err = np.repeat(y - p, w.slots.shape[1])
         grad = (np.bincount(flat[there], err[there], SLOTS) - 0.02 * f.weights).astype(np.float32)
         for k, (value, g) in enumerate(((f.weights, grad), (f.start, seen_first - first), (f.step, seen_pairs - pairs))):
             g2[k] += g * g
             value += 0.7 * g / np.sqrt(g2[k])
-    p, _, _, _ = marginals(w.scores(f.weights), chain, place, f)
+    p, _, _, _ = marginals(w.scores(f.weights), w.doc, f)
     x = _document_features(p, w.doc, len(texts))
     b = np.zeros(3)
     for _ in range(25):  # ridge logistic regression of the document's label
@@ -178,13 +203,18 @@ def held_out(doc_id) -> F.Column:
 
 
 def training_sample(documents: DataFrame, labels: DataFrame, size: tuple[int, int] = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """At most ``size`` whole texts of the clean and the toxic class, the first by a hash of doc_id, among rows that are not held out."""
+    """At most ``size`` whole texts of the clean and the toxic class, the first by a hash of doc_id, among rows that are not held out and no longer than LONGEST.
+
+    A doc_id gives one text, whatever the rows that have it, so what reaches the driver is bounded.
+    """
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.length("text") <= LONGEST)
+    usable = known.join(texts.select("doc_id"), "doc_id", "left_semi")
     rows = []
     for c in (0, 1):
-        ids = known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size[c])
+        ids = usable.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size[c])
         # the limit bounds what is broadcast
-        rows += documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id").where(F.length("text") <= LONGEST).orderBy("doc_id", "text").collect()
+        rows += texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic")).orderBy("doc_id").collect()
     return [r.text for r in rows], np.array([r.toxic for r in rows], np.int64)
 
 
@@ -192,7 +222,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
     """doc_id, held_out, score, predicted, n_toxic_words, spans: every whole text scored; spans are byte offsets of toxic words in its UTF-8 form.
 
     Null and empty texts have no words and get the score of a text without toxic words. Rows without a doc_id are scored
-    and not held out; repeated rows get the same score. Extra columns are ignored, unless ``carry`` asks for each whole
+    and not held out; repeated rows get the same score; without labels of both classes nothing is toxic. Extra columns are ignored, unless ``carry`` asks for each whole
     input row in a struct ``row``.
     """
     f = field or fit(*training_sample(documents, labels))
@@ -203,7 +233,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
         for b in C.units(batches):
             w = Words(b.column("text"))
             n = b.num_rows
-            p = marginals(w.scores(field.weights), *w.chains(), field)[0]
+            p = marginals(w.scores(field.weights), w.doc, field)[0]
             score = 1 / (1 + np.exp(-np.clip(_document_features(p, w.doc, n) @ field.document, -30, 30)))
             hit = np.flatnonzero(p >= 0.5)
             base = w.off[w.doc[hit]]
