@@ -7,6 +7,7 @@ import hashlib
 import os
 import secrets
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -44,6 +45,7 @@ def release(spark: SparkSession) -> None:
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(1)  # the cleaner works beside the driver; the next job would write before it has deleted
 
 
 def partitions(spark: SparkSession) -> int:

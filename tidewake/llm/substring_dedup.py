@@ -6,6 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ def levels_of(n: int) -> list[int]:
 
 
 def repeated_windows(docs: DataFrame, copies: DataFrame, n: int, lower: bool = False) -> DataFrame:
-    """(doc_id, payload): ranges of starts of n-word windows whose words also begin somewhere in a document with a smaller id.
+    """(doc_id, places): ranges of starts of n-word windows whose words also begin somewhere in a document with a smaller id.
 
     Levels, by ``levels_of``: the first looks up seeds sampled so that each n-word window holds one; each later level
     extends what repeated in another text, and that alone, to twice the length around the same seed. The last level is
@@ -38,11 +39,11 @@ def repeated_windows(docs: DataFrame, copies: DataFrame, n: int, lower: bool = F
     k = lengths[0]
     live, before = docs, None
     for length in lengths[:-1]:
-        found = C.written(W.repeated_anchors(live, "words", n, k, lower, length, before, seed), "level")
+        found = C.written(W.gathered(W.repeated_anchors(live, "words", n, k, lower, length, before, seed)), "level")
         C.release(spark)
         if found.isEmpty():
             return found
-        level = W.gathered(found).join(copies.select("doc_id"), "doc_id", "left_anti")
+        level = found.join(copies.select("doc_id"), "doc_id", "left_anti")
         # the text side is always shuffled, so the plan at any size is the plan at large sizes
         live, before = docs.hint("merge").join(level, "doc_id"), length
 
@@ -70,7 +71,7 @@ def repeated_windows(docs: DataFrame, copies: DataFrame, n: int, lower: bool = F
         got = []
         for what, payload in W.blocks_of(batches):
             if what == W.KNOWN:
-                yield W.ranges_per_document(*W.unpack(payload, np.int64, np.uint32, np.uint32))
+                yield W.as_batch([(TaskContext.get().partitionId(), W.KNOWN, payload)], W.BLOCK_ARROW)
             else:
                 got.append(W.unpack(payload, U64, np.uint32, np.int64, np.uint32))
         if got:
@@ -78,9 +79,9 @@ def repeated_windows(docs: DataFrame, copies: DataFrame, n: int, lower: bool = F
             del got
             for r in W.parts_by_hash(h):
                 _, _, d, pos, later = _judged(h[r], g[r], i[r], p[r])
-                yield W.ranges_per_document(*W.to_ranges(d[later], pos[later]))
+                yield W.as_batch(list(W.range_blocks(*W.to_ranges(d[later], pos[later]), buckets)), W.BLOCK_ARROW)
 
-    return W.exchange(live.mapInArrow(ask, W.BLOCK), settle)
+    return W.ranges_gathered(W.exchange(live.mapInArrow(ask, W.BLOCK), settle, W.BLOCK))
 
 
 def _judged(h: np.ndarray, g: np.ndarray, d: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -103,7 +104,7 @@ def substring_dedup(documents: DataFrame, n: int = 13) -> DataFrame:
     """
     docs = W.prepared(documents)
     copies = C.written(W.exact_copies(docs), "copies")
-    found = W.gathered(C.written(repeated_windows(docs, copies, n), "repeats"))
+    found = C.written(repeated_windows(docs, copies, n), "repeats")
     C.release(documents.sparkSession)
     copies = copies.withColumn("copy", F.lit(True))
     marked = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text").join(found, "doc_id", "left").join(copies, ["doc_id", "th"], "left")

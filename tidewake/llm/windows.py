@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -128,15 +129,6 @@ BLOCK_ARROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("payload
 FOUND_ARROW = pa.schema([("doc_id", pa.int64()), ("payload", pa.binary())])
 
 
-def per_document(docs: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
-    """(doc_id, places) rows."""
-    o = np.lexsort((pos, docs))
-    docs, pos = docs[o], pos[o].astype(np.uint32)
-    st = C.runs(docs)
-    ends = np.concatenate((st[1:], [len(docs)])) if len(st) else st
-    return as_batch([(int(docs[a]), pos[a:b].tobytes()) for a, b in zip(st, ends, strict=True)], FOUND_ARROW)
-
-
 def gather(parts: Iterator[tuple[np.ndarray, ...] | None], flush: int = FLUSH) -> Iterator[list[np.ndarray]]:
     """Entries of several units (tuples of columns) until there are ``flush`` of them."""
     held: list = []
@@ -189,7 +181,7 @@ def parts_by_hash(h: np.ndarray, limit: int = FLUSH) -> Iterator[np.ndarray]:
 
 
 def repeated_anchors(docs: DataFrame, kind: str, n: int, k: int, lower: bool = False, length: int | None = None, before: int | None = None, seed: int = 0) -> DataFrame:
-    """(doc_id, payload): per document, places of anchors that also occur in a different text.
+    """Blocks of (document, place), dealt by document: places of anchors that also occur in a different text.
 
     docs: doc_id, th (a hash of the text), text. An anchor is taken with ``length`` elements (k unless given). With
     ``before``, docs have the places of the anchors of that length that repeated, and only their windows are looked at.
@@ -240,7 +232,7 @@ def repeated_anchors(docs: DataFrame, kind: str, n: int, k: int, lower: bool = F
         got = []
         for what, payload in blocks_of(batches):
             if what == KNOWN:
-                yield per_document(*unpack(payload, np.int64, np.uint32))
+                yield as_batch([(TaskContext.get().partitionId(), KNOWN, payload)], BLOCK_ARROW)
             else:
                 i, t, c, h, p = unpack(payload, np.int64, np.int64, np.uint32, np.uint32, np.uint32)
                 got.append((np.repeat(i, c), np.repeat(t, c), h, p))
@@ -251,20 +243,48 @@ def repeated_anchors(docs: DataFrame, kind: str, n: int, k: int, lower: bool = F
                 o = r[np.argsort(h[r], kind="stable")]
                 st = C.runs(h[o])
                 several = (np.minimum.reduceat(t[o], st) != np.maximum.reduceat(t[o], st))[C.group_ids(st, len(o))]
-                yield per_document(i[o][several], p[o][several])
+                yield as_batch(list(doc_blocks(i[o][several], p[o][several], buckets)), BLOCK_ARROW)
+
+    return exchange(docs.mapInArrow(ask, BLOCK), settle, BLOCK)
 
-    return exchange(docs.mapInArrow(ask, BLOCK), settle)
+
+def _whole(batches: Iterator[pa.RecordBatch], *dtypes) -> list[np.ndarray]:
+    """The columns of all blocks of a partition, by document (their first column)."""
+    got = [unpack(payload, *dtypes) for _, payload in blocks_of(batches)]
+    columns = [np.concatenate(x) for x in zip(*got, strict=True)] if got else [np.zeros(0, d) for d in dtypes]
+    o = np.argsort(columns[0], kind="stable")
+    return [x[o] for x in columns]
+
+
+def _rows(docs: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+    st = C.runs(docs)
+    ends = np.concatenate((st[1:], [len(docs)])) if len(st) else st
+    for at in range(0, len(st), 5000):
+        yield as_batch([(int(docs[x]), values[x:y].tobytes()) for x, y in zip(st[at : at + 5000], ends[at : at + 5000], strict=True)], FOUND_ARROW)
 
 
 def gathered(found: DataFrame) -> DataFrame:
-    """One row per document with its blocks of places; a document has at most one block per task and partition."""
-    return found.groupBy("doc_id").agg(F.collect_list("payload").alias("places"))
+    """(doc_id, places): one row per document with its places."""
 
+    def run(batches):
+        yield from _rows(*_whole(batches, np.int64, np.uint32))
 
-def places_of(cell) -> np.ndarray:
-    """All places of a document, sorted."""
-    parts = [np.frombuffer(p, np.uint32) for p in cell or ()]
-    return np.unique(np.concatenate(parts)).astype(np.int64) if parts else np.zeros(0, np.int64)
+    return exchange(found, run).withColumnRenamed("payload", "places")
+
+
+def ranges_gathered(found: DataFrame) -> DataFrame:
+    """(doc_id, places): one row per document with its pairs of start and length."""
+
+    def run(batches):
+        docs, start, length = _whole(batches, np.int64, np.uint32, np.uint32)
+        yield from _rows(docs, np.stack((start, length), 1))
+
+    return exchange(found, run).withColumnRenamed("payload", "places")
+
+
+def places_of(cell: bytes | None) -> np.ndarray:
+    """All places of a document."""
+    return np.frombuffer(cell or b"", np.uint32).astype(np.int64)
 
 
 def to_ranges(docs: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -284,24 +304,13 @@ def range_blocks(docs: np.ndarray, start: np.ndarray, length: np.ndarray, bucket
     yield from _blocks(key, KNOWN, lambda r: pack(docs[r], start[r].astype(np.uint32), length[r].astype(np.uint32)))
 
 
-def ranges_per_document(docs: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.RecordBatch:
-    """(doc_id, payload) rows; a payload holds pairs of start and length."""
-    o = np.argsort(docs, kind="stable")
-    docs, pairs = docs[o], np.stack((start[o], length[o]), 1).astype(np.uint32)
-    st = C.runs(docs)
-    ends = np.concatenate((st[1:], [len(docs)])) if len(st) else st
-    return as_batch([(int(docs[a]), pairs[a:b].tobytes()) for a, b in zip(st, ends, strict=True)], FOUND_ARROW)
-
-
-def covered(n_elements: int, cell, n: int) -> np.ndarray:
+def covered(n_elements: int, cell: bytes | None, n: int) -> np.ndarray:
     """Elements inside an n-window that begins in one of the ranges."""
-    parts = [np.frombuffer(p, np.uint32).reshape(-1, 2) for p in cell or ()]
     d = np.zeros(n_elements + 1, np.int64)
-    if parts:
-        r = np.concatenate(parts).astype(np.int64)
-        r = r[r.sum(1) + n - 1 <= n_elements]
-        np.add.at(d, r[:, 0], 1)
-        np.add.at(d, r.sum(1) + n - 1, -1)
+    r = np.frombuffer(cell or b"", np.uint32).reshape(-1, 2).astype(np.int64)
+    r = r[r.sum(1) + n - 1 <= n_elements]
+    np.add.at(d, r[:, 0], 1)
+    np.add.at(d, r.sum(1) + n - 1, -1)
     return np.cumsum(d[:-1]) > 0
 
 
