@@ -14,8 +14,9 @@ from tidewake.schema import LOG, MINUTE_US, LogicConfig
 from tidewake.sources import archive, codec, eventlog
 from tidewake.streaming import core_stream, metrics
 
-M, T0 = MINUTE_US, 1_790_528_400_000_000
-GAP = 30 * M
+M = MINUTE_US
+#: A minute in May 2033, and the gap of the cases below.
+BEGIN, PAUSE = 2_000_000_040_000_000, 11 * M
 
 
 def log_of(spark, rows):
@@ -68,24 +69,34 @@ def test_batch_core_equals_the_model(spark, rows, cfg):
     assert run(spark, rows, cfg) == model(rows, cfg)
 
 
-def test_minutes_and_watermark(spark):
-    rows = [(0, "a", 1, T0 + 1), (0, "a", 2, T0 + 2), (0, "b", 3, T0 + M + 5)]
-    e = core.classified(log_of(spark, rows), LogicConfig(5 * M, GAP))
-    assert {r.minute_us: r.events for r in core.engagement_minute(e).collect()} == {T0: 2, T0 + M: 1}
-    assert core.partition_state(log_of(spark, rows), e).collect()[0].watermark_us == T0 + M + 5
+def test_counts_fall_into_the_minute_of_the_event(spark):
+    day = 86_400_000_000
+    times = [day - 1, day, day + M - 1, day + M, day + 3 * M + 17, day + M + 1]
+    e = core.classified(log_of(spark, [(2, "u", i, t) for i, t in enumerate(times)]), LogicConfig(10 * M, 20 * M))
+    assert {r.minute_us: r.events for r in core.engagement_minute(e).collect()} == {day - M: 1, day: 2, day + M: 2, day + 3 * M: 1}
+    assert [(r.kafka_partition, r.next_offset, r.watermark_us) for r in core.partition_state(log_of(spark, [(2, "u", i, t) for i, t in enumerate(times)]), e).collect()] == [(2, 6, day + 3 * M + 17)]
 
 
-def test_late_boundary_and_session_edges(spark):
-    cfg = LogicConfig(5 * M, GAP)
-    wm = T0 + 10 * M
-    late, *_ = run(spark, [(0, "a", 0, wm), (0, "b", 1, wm - 5 * M - 1), (0, "c", 2, wm - 5 * M + 1), (0, "d", 3, wm - 5 * M)], cfg)
-    assert sum(late.values()) == 1
-    _, closed, state, _ = run(spark, [(0, "a", 0, T0), (0, "a", 1, T0 + 10 * M), (0, "a", 2, T0 + 10 * M + GAP + 1)], cfg)
-    assert closed == [("a", T0, T0 + 10 * M, 2)] and state["a"][2] == 1
-    _, closed, state, _ = run(spark, [(0, "a", 0, T0), (0, "a", 1, T0 + GAP)], cfg)
-    assert closed == [] and state["a"] == (T0, T0 + GAP, 2)
-    late, _, _, rejected = run(spark, [(0, "a", 0, T0 + 2 * GAP), (0, "a", 1, T0)], LogicConfig(10 * GAP, GAP))
-    assert rejected == {0: 1} and not late
+@pytest.mark.parametrize(("behind", "is_late"), [(0, False), (6_999_999, False), (7_000_000, False), (7_000_001, True), (9_000_000, True)])
+def test_an_event_is_late_only_beyond_the_allowance(spark, behind, is_late):
+    mark = 4_000 * M + 123
+    late, _, state, _ = run(spark, [(1, "p", "x", mark), (1, "q", "y", mark - behind), (1, "r", "z", mark)], LogicConfig(7_000_000, 8_000_000))
+    assert bool(late) == is_late and ("q" in state) != is_late
+
+
+@pytest.mark.parametrize(("pause", "sessions"), [(1, 1), (8_000_000, 1), (8_000_001, 2), (50_000_000, 2)])
+def test_a_session_ends_only_after_the_gap(spark, pause, sessions):
+    begin = 77 * M + 5
+    _, closed, state, _ = run(spark, [(0, "s", k, begin + t) for k, t in enumerate((0, 3_000_000, 3_000_000 + pause))], LogicConfig(1_000_000, 8_000_000))
+    assert len(closed) + len(state) == sessions
+    assert closed == ([("s", begin, begin + 3_000_000, 2)] if sessions == 2 else [])
+
+
+def test_an_event_before_the_reach_of_its_session_is_rejected(spark):
+    cfg = LogicConfig(60_000_000, 8_000_000)
+    rows = [(0, "s", k, 900_000_000 + t) for k, t in enumerate((0, -8_000_000, -16_000_001, -16_000_000))]
+    late, closed, state, rejected = run(spark, rows, cfg)
+    assert (late, closed, rejected) == ({}, [], {0: 1}) and state == {"s": (884_000_000, 900_000_000, 3)}
 
 
 def test_clashing_sessions_fail_loudly(spark):
@@ -197,9 +208,9 @@ def test_versions_leases_and_cutover(spark, tmp_path):
 
 
 def test_rebuild_writes_a_version(spark, tmp_path):
-    log = log_of(spark, [(0, "a", 1, T0), (0, "a", 2, T0 + 2 * GAP), (1, "b", 3, T0)])
+    log = log_of(spark, [(0, "a", 1, BEGIN), (0, "a", 2, BEGIN + 2 * PAUSE), (1, "b", 3, BEGIN)])
     c = versions.Control(str(tmp_path / "c"))
-    v = c.plan("t", LogicConfig(5 * M, GAP), {r.kafka_partition: r.end_offset for r in eventlog.end_offsets(log).collect()})
+    v = c.plan("t", LogicConfig(3 * M, PAUSE), {r.kafka_partition: r.end_offset for r in eventlog.end_offsets(log).collect()})
     versions.rebuild(c, v, log, str(tmp_path / "d"))
     c.mark_diffed(v, "x")
     c.cutover(v)
@@ -233,16 +244,16 @@ def test_replay_and_markers(spark):
 
 
 def test_archive_round_trip(spark, tmp_path):
-    log = log_of(spark, [(3, "a", 1, T0), (3, "a", 2, T0 + 86_400_000_000)])
+    log = log_of(spark, [(3, "a", 1, BEGIN), (3, "a", 2, BEGIN + 86_400_000_000)])
     for _ in range(2):  # a rerun replaces its days
         archive.write_archive(log, str(tmp_path), "t")
     back = archive.read_archive(spark, str(tmp_path), "t")
     assert back.count() == 2 and sorted(back.select(LOG.fieldNames()).collect()) == sorted(log.collect())
-    assert archive.range_path("t", 3, 100, 101, T0) == "topic=t/date=2026-09-27/part-3-000000000100-000000000101.parquet"
+    assert archive.range_path("t", 3, 100, 101, BEGIN) == "topic=t/date=2033-05-18/part-3-000000000100-000000000101.parquet"
 
 
 def test_capture_gaps_and_verdict(spark):
-    rows = [(0, "a", m * 100 + i, T0 + m * M + i) for m in range(9) for i in range({4: 0, 5: 2, 6: 1}.get(m, 10))]
+    rows = [(0, "a", m * 100 + i, BEGIN + m * M + i) for m in range(9) for i in range({4: 0, 5: 2, 6: 1}.get(m, 10))]
     gaps = marts.capture_gaps(marts.stg_events(log_of(spark, rows))).collect()
     assert [r.events for r in gaps] == [0, 1]  # exactly a fifth of the median is no gap
     diff = spark.createDataFrame([("t", 0, 0)], "table_name string, only_in_baseline long, only_in_candidate long")
