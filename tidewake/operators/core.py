@@ -13,6 +13,7 @@ from tidewake.functions.columns import minute_us
 from tidewake.operators.dedupe import first_by_log_order
 from tidewake.operators.prefix import running
 from tidewake.schema import LogicConfig
+from tidewake.sources.scratch import written
 
 
 def with_lateness(unique: DataFrame, cfg: LogicConfig) -> DataFrame:
@@ -22,8 +23,8 @@ def with_lateness(unique: DataFrame, cfg: LogicConfig) -> DataFrame:
 
 
 def classified(log: DataFrame, cfg: LogicConfig) -> DataFrame:
-    """Unique events in log order with their lateness."""
-    return with_lateness(first_by_log_order(log), cfg)
+    """Unique events in log order with their lateness; the unique events are written once, as running aggregates read them twice."""
+    return with_lateness(written(first_by_log_order(log), "unique"), cfg)
 
 
 def late_minute(events: DataFrame) -> DataFrame:
@@ -52,6 +53,7 @@ def numbered_sessions(events: DataFrame, cfg: LogicConfig) -> DataFrame:
     on = events.where("not late")
     keys = ["account_id", "kafka_partition"]
     on = running(on, keys, "kafka_offset", F.col("time_us"), "max", "__am", inclusive=False)
+    on = written(on, "marked")
     brk = F.coalesce((F.col("time_us") - F.col("__am") > cfg.gap_us).cast("long"), F.lit(0).cast("long"))
     return running(on.withColumn("__b", brk), keys, "kafka_offset", F.col("__b"), "sum", "session_no", inclusive=True).drop("__am", "__b")
 
@@ -77,6 +79,7 @@ def all_sessions(events: DataFrame, cfg: LogicConfig) -> DataFrame:
         out = numbered.groupBy("account_id", "kafka_partition", "session_no").agg(F.min("time_us").alias("start_us"), F.max("time_us").alias("end_us"), F.count("*").alias("events")).withColumn("rejected", F.lit(0).cast("long"))
     else:
         out = _folded(numbered, cfg)
+    out = written(out, "sessions")
     last = out.groupBy("account_id").agg(F.max("session_no").alias("__last"))
     return out.join(last, "account_id").withColumn("open", F.col("session_no") == F.col("__last")).drop("__last")
 

@@ -19,7 +19,7 @@ def subject_did(record: Column) -> Column:
 
 
 def normalize(raw: DataFrame, salt: str, json: str = "value") -> DataFrame:
-    """Adds EVENT columns and ``reject_reason`` (null for good rows) to a table with a JSON column."""
+    """EVENT columns and ``reject_reason`` (null for good rows) in place of a table's JSON column, which does not go on: it names accounts."""
     r = raw.withColumn("__r", F.from_json(json, RAW))
     did, time_us, kind, commit = (F.col(f"__r.{n}") for n in ("did", "time_us", "kind", "commit"))
     blank = lambda c: F.coalesce(c, F.lit("")) == ""
@@ -46,7 +46,7 @@ def normalize(raw: DataFrame, salt: str, json: str = "value") -> DataFrame:
         "operation": F.when(is_commit, part("operation")).otherwise(""),
         "subject_account_id": F.when(is_commit & (subject != ""), salted_hash(salt, F.lit("account"), subject)).otherwise(""),
     }
-    return r.withColumns({k: F.when(good, v) for k, v in values.items()} | {"reject_reason": reason}).drop("__r")
+    return r.withColumns({k: F.when(good, v) for k, v in values.items()} | {"reject_reason": reason}).drop("__r", json)
 
 
 def split_malformed(normalised: DataFrame) -> tuple[DataFrame, DataFrame]:

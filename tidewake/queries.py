@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
-import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +12,8 @@ from tidewake.functions.columns import resume_cursor, salted_hash
 from tidewake.operators import core, dedupe, normalize, verify
 from tidewake.plans import checkpoint, marts, versions
 from tidewake.schema import EVENT_COLUMNS, LogicConfig
-from tidewake.sources import codec, eventlog
+from tidewake.sources import archive, codec, eventlog
+from tidewake.sources.scratch import shared_folder
 from tidewake.streaming import core_stream, metrics
 
 HOUR = 3_600_000_000
@@ -23,12 +23,6 @@ INVERTED = LogicConfig(late_us=4 * HOUR, gap_us=HOUR)
 SALT = "pepper"
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder that all executors see: under spark.checkpoint.dir, or a local temporary one in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/tidewake-{os.getuid()}"
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 _log = eventlog.event_log
 
 
@@ -100,8 +94,70 @@ def _recon(s, d):
     return verify.late_reconciliation(ref, core.engagement_minute(e), core.late_minute(e))
 
 
+def _feed(s, d):
+    """Log partition 0 as a feed of connections of 100 messages each."""
+    return _log(s, d).where("kafka_partition = 0").select(F.col("kafka_offset").alias("seq"), F.expr("kafka_offset div 100").alias("connection"), "time_us")
+
+
+def _markers(s, d):
+    feed = _feed(s, d)
+    return eventlog.with_markers(feed, feed.select("connection", (F.col("connection") % 3 * 1000).alias("cursor_us")).distinct())
+
+
+def _scan_from(s, d):
+    return eventlog.scan_from(_log(s, d), s.range(5).select(F.col("id").cast("int").alias("kafka_partition"), (F.col("id") * 100).alias("next_offset")))
+
+
+def _archived(s, d):
+    root = shared_folder(s, "archive")
+    for _ in range(2):  # a rerun replaces its days
+        archive.write_archive(_log(s, d), root, "t")
+    return archive.read_archive(s, root, "t")
+
+
+def _rebuilt(s, d):
+    """(control, version, log, data folder) of a version that was planned, rebuilt, diffed and made live."""
+    c, root, log = versions.Control(tempfile.mkdtemp(prefix="control-")), shared_folder(s, "versions"), _log(s, d)
+    v = c.plan("t", CFG, {r.kafka_partition: r.end_offset for r in eventlog.end_offsets(log).collect()})
+    versions.rebuild(c, v, log, root)
+    c.mark_diffed(v, "diff.json")
+    c.cutover(v)
+    return c, v, root
+
+
+def _live(s, d):
+    c, _, root = _rebuilt(s, d)
+    versions.live_views(s, c, root)
+    one = lambda t: s.table(t).agg(F.count("*").alias("n_rows"), F.coalesce(F.sum("events"), F.lit(0)).cast("long").alias("events")).select(F.lit(t).alias("table_name"), "*")
+    return reduce(DataFrame.unionByName, [one(t) for t in versions.OUTPUT_TABLES])
+
+
+def _status(s, d):
+    c, v, _ = _rebuilt(s, d)
+    x = c.status(v)
+    return s.createDataFrame([(x["state"], x["jobs"], x["done"], x["claims"], c.live() == v)], "state string, jobs long, done long, claims long, is_live boolean")
+
+
+def _verdict(s, d):
+    same = versions.version_diff(_log(s, d), CFG, CFG)
+    return s.createDataFrame([(verify.verdict(same, _recon(s, d), 1, True),)], "passed boolean")
+
+
+def _quarantine(s, d):
+    return normalize.split_malformed(normalize.normalize(_raw(s, d), SALT))[1].select("raw_id", "reject_reason")
+
+
 QUERIES = {
     "event_log": _log,
+    "scan_from": _scan_from,
+    "feed_replay": lambda s, d: eventlog.replay_range(_feed(s, d), 1_704_200_000_000_000, 1_706_000_000_000_000),
+    "feed_markers": _markers,
+    "archive_scan": _archived,
+    "quarantine": _quarantine,
+    "whole_minutes": lambda s, d: verify.whole_minutes(_window(s, d)),
+    "rebuilt_tables": _live,
+    "version_status": _status,
+    "run_verdict": _verdict,
     "end_offsets": lambda s, d: eventlog.end_offsets(_log(s, d)),
     "log_range": lambda s, d: eventlog.scan_range(_log(s, d), 10, 500),
     "stg_events": _stg,
@@ -205,6 +261,9 @@ def _q(ctes: str, select: str) -> str:
 
 
 _CORE = _BASE + _core_sql(CFG)
+_FEED = ", feed as (select kafka_offset seq, kafka_offset // 100 as connection, time_us from log where kafka_partition = 0)\n"
+_REJECTS = """, v as (select *, case when coalesce(did, '') = '' then 'missing did' when coalesce(time_us, 0) <= 0 then 'missing time'
+  when kind = 'commit' and (coalesce(collection, '') = '' or coalesce(rkey, '') = '' or coalesce(rev, '') = '' or coalesce(operation, '') = '') then 'incomplete commit' when kind not in ('commit', 'identity', 'account') then 'unknown kind' end reject_reason from subjects)"""
 _DIFF = _BASE + _core_sql(CFG, "a_") + _core_sql(TIGHT, "b_")
 _CHECKS = {
     "unique_event_id": "(select 1 from stg group by event_id having count(*) > 1)",
@@ -218,6 +277,15 @@ _CHECKS = {
 
 ORACLE = {
     "event_log": _q(_BASE, "select * from log"),
+    "scan_from": _q(_BASE, "select * from log where kafka_offset >= if(kafka_partition < 5, 100 * kafka_partition, 0)"),
+    "feed_replay": _q(_BASE + _FEED, "select * from feed where time_us >= 1704200000000000 and seq < coalesce((select min(seq) from feed where time_us > 1706000000000000), 1 << 60)"),
+    "feed_markers": _q(_BASE + _FEED, "select seq, 1 as slot, 'data' as item, time_us from feed union all select min(seq), 0, 'connected', connection % 3 * 1000 from feed where connection % 3 > 0 group by connection"),
+    "archive_scan": _q(_BASE, "select *, 't' as topic, date '1970-01-01' + cast(time_us // 86400000000 as int) as date from log"),
+    "quarantine": _q(_BASE + _RAW + _REJECTS, "select raw_id, reject_reason from v where reject_reason is not null"),
+    "whole_minutes": _q(_BASE + _PERTURBED, "select cast(ceil(lo / 60e6) as bigint) * 60000000 as lo, (hi // 60000000 - 1) * 60000000 as hi from win"),
+    "rebuilt_tables": _q(_CORE, "\nunion all ".join(f"select '{t}' as table_name, count(*) as n_rows, cast(coalesce(sum(events), 0) as bigint) as events from {t}" for t in ("engagement_minute", "late_minute", "sessions", "account_state")) + "\nunion all select 'session_late', 0, 0"),
+    "version_status": _q(_BASE, "select 'live' as state, count(distinct kafka_partition) as jobs, count(distinct kafka_partition) as done, count(distinct kafka_partition) as claims, true as is_live from log"),
+    "run_verdict": _q(_CORE, "select (select count(*) from uniq) = (select coalesce(sum(events), 0) from engagement_minute) + (select coalesce(sum(events), 0) from late_minute) as passed"),
     "end_offsets": _q(_BASE, "select kafka_partition, max(kafka_offset) + 1 as end_offset, count(*) as records from log group by 1"),
     "log_range": _q(_BASE, "select * from log where kafka_offset >= 10 and kafka_offset < 500"),
     "stg_events": _q(_STG, "select * from stg"),
@@ -327,6 +395,9 @@ def _q(ctes: str, select: str) -> str:
 
 
 _CORE = _BASE + _core_sql(CFG)
+_FEED = ", feed as (select kafka_offset seq, kafka_offset // 100 as connection, time_us from log where kafka_partition = 0)\n"
+_REJECTS = """, v as (select *, case when coalesce(did, '') = '' then 'missing did' when coalesce(time_us, 0) <= 0 then 'missing time'
+  when kind = 'commit' and (coalesce(collection, '') = '' or coalesce(rkey, '') = '' or coalesce(rev, '') = '' or coalesce(operation, '') = '') then 'incomplete commit' when kind not in ('commit', 'identity', 'account') then 'unknown kind' end reject_reason from subjects)"""
 _DIFF = _BASE + _core_sql(CFG, "a_") + _core_sql(TIGHT, "b_")
 _CHECKS = {
     "unique_event_id": "(select 1 from stg group by event_id having count(*) > 1)",
@@ -340,6 +411,15 @@ _CHECKS = {
 
 ORACLE = {
     "event_log": _q(_BASE, "select * from log"),
+    "scan_from": _q(_BASE, "select * from log where kafka_offset >= if(kafka_partition < 5, 100 * kafka_partition, 0)"),
+    "feed_replay": _q(_BASE + _FEED, "select * from feed where time_us >= 1704200000000000 and seq < coalesce((select min(seq) from feed where time_us > 1706000000000000), 1 << 60)"),
+    "feed_markers": _q(_BASE + _FEED, "select seq, 1 as slot, 'data' as item, time_us from feed union all select min(seq), 0, 'connected', connection % 3 * 1000 from feed where connection % 3 > 0 group by connection"),
+    "archive_scan": _q(_BASE, "select *, 't' as topic, date '1970-01-01' + cast(time_us // 86400000000 as int) as date from log"),
+    "quarantine": _q(_BASE + _RAW + _REJECTS, "select raw_id, reject_reason from v where reject_reason is not null"),
+    "whole_minutes": _q(_BASE + _PERTURBED, "select cast(ceil(lo / 60e6) as bigint) * 60000000 as lo, (hi // 60000000 - 1) * 60000000 as hi from win"),
+    "rebuilt_tables": _q(_CORE, "\nunion all ".join(f"select '{t}' as table_name, count(*) as n_rows, cast(coalesce(sum(events), 0) as bigint) as events from {t}" for t in ("engagement_minute", "late_minute", "sessions", "account_state")) + "\nunion all select 'session_late', 0, 0"),
+    "version_status": _q(_BASE, "select 'live' as state, count(distinct kafka_partition) as jobs, count(distinct kafka_partition) as done, count(distinct kafka_partition) as claims, true as is_live from log"),
+    "run_verdict": _q(_CORE, "select (select count(*) from uniq) = (select coalesce(sum(events), 0) from engagement_minute) + (select coalesce(sum(events), 0) from late_minute) as passed"),
     "end_offsets": _q(_BASE, "select kafka_partition, max(kafka_offset) + 1 as end_offset, count(*) as records from log group by 1"),
     "log_range": _q(_BASE, "select * from log where kafka_offset >= 10 and kafka_offset < 500"),
     "stg_events": _q(_STG, "select * from stg"),
@@ -377,9 +457,7 @@ select kafka_partition, cast(sum(z.r) as bigint) as events from f group by 1 hav
     "late_reconciliation": _q(_CORE, """select minute_us, ref_n, cast(coalesce(test_n, 0) as bigint) as test_n, coalesce(late_n, 0) as late_n from (select time_us // 60000000 * 60000000 minute_us, count(*) ref_n from uniq group by 1)
  left join (select minute_us, sum(events) test_n from engagement_minute group by 1) using (minute_us) left join (select minute_us, events late_n from late_minute) using (minute_us)"""),
     "hash_ids": _q(_BASE, f"select kafka_partition, kafka_offset, {_h(chr(39) + 'commit' + chr(39), 'event_id', 'operation')} as event_hash, {_h(chr(39) + 'account' + chr(39), 'account_id')} as account_hash from log"),
-    "normalize_events": _q(_BASE + _RAW, f""", v as (select *, case when coalesce(did, '') = '' then 'missing did' when coalesce(time_us, 0) <= 0 then 'missing time'
-  when kind = 'commit' and (coalesce(collection, '') = '' or coalesce(rkey, '') = '' or coalesce(rev, '') = '' or coalesce(operation, '') = '') then 'incomplete commit' when kind not in ('commit', 'identity', 'account') then 'unknown kind' end reject_reason from subjects)
-select raw_id, case when reject_reason is null then case when kind = 'commit' then {_h("'commit'", "did", "collection", "rkey", "rev", "operation")} else {_h("kind", "did", "cast(time_us as varchar)")} end end as event_id,
+    "normalize_events": _q(_BASE + _RAW + _REJECTS, f"""select raw_id, case when reject_reason is null then case when kind = 'commit' then {_h("'commit'", "did", "collection", "rkey", "rev", "operation")} else {_h("kind", "did", "cast(time_us as varchar)")} end end as event_id,
  case when reject_reason is null then {_h("'account'", "did")} end as account_id, case when reject_reason is null then time_us end as time_us, case when reject_reason is null then kind end as kind,
  case when reject_reason is null then case when kind = 'commit' then collection else '' end end as collection, case when reject_reason is null then case when kind = 'commit' then operation else '' end end as operation,
  case when reject_reason is null then case when kind = 'commit' and subject <> '' then {_h("'account'", "subject")} else '' end end as subject_account_id, reject_reason from v"""),
