@@ -1,6 +1,7 @@
 """The batch and streaming core against a sequential model, and literal cases of its operators."""
 
 import json
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -133,6 +134,38 @@ def test_stream_equals_batch_after_a_restart(spark, tmp_path):
     assert {r.kafka_partition: r.next_offset for r in out["partition_state"].collect()} == {0: 72, 1: 48}
 
 
+def test_a_second_run_fences_the_first_and_skips_what_was_applied(spark, tmp_path):
+    c, out = versions.Control(str(tmp_path / "c")), f"{tmp_path}/out"
+    rows = [(0, i % 3, i, BEGIN + i * M) for i in range(30)]
+    log, cfg = log_of(spark, rows), LogicConfig(M, PAUSE)
+    log.where("kafka_offset < 10").coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
+    core_stream.start(spark, f"{tmp_path}/log", out, f"{tmp_path}/cp", cfg, control=c).awaitTermination()
+    first = c.visible("events")[0][1]
+    log.where("kafka_offset >= 10").coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
+    # a new run with a lost checkpoint: what was applied is not counted twice
+    core_stream.start(spark, f"{tmp_path}/log", out, f"{tmp_path}/cp2", cfg, control=c).awaitTermination()
+    got = core_stream.outputs(spark, out, c)
+    assert sum(r.events for r in got["engagement_minute"].collect()) == 30
+    assert [(r.next_offset, r.watermark_us) for r in got["partition_state"].collect()] == [(30, BEGIN + 29 * M)]
+    with pytest.raises(versions.Fenced):
+        c.admit("events", first, {0: (30, 31)})
+    owner = c.visible("events")[-1][1]
+    with pytest.raises(versions.OffsetGap):
+        c.admit("events", owner, {1: (0, 5), 0: (31, 33)})
+    assert c.admit("events", owner, {0: (10, 30)}) == set() and c.admit("events", owner, {1: (0, 5)}) == {1}
+
+
+@pytest.mark.parametrize("keep_us, counted", [(0, 2), (60 * M, 3)])
+def test_seen_ids_leave_the_stream_after_their_age(spark, tmp_path, keep_us, counted):
+    """Event 1 is older than the window when its copy comes, event 2 has just happened."""
+    now = time.time_ns() // 1000
+    log = log_of(spark, [(0, "a", 1, now - 90 * M), (0, "a", 2, now), (0, "a", 1, now - 90 * M), (0, "a", 2, now)])
+    for part in ("kafka_offset < 2", "kafka_offset >= 2"):
+        log.where(part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
+        core_stream.start(spark, f"{tmp_path}/log", f"{tmp_path}/out", f"{tmp_path}/cp", LogicConfig(120 * M, 180 * M), keep_us=keep_us, prune_every_s=0).awaitTermination()
+    assert sum(r.events for r in core_stream.outputs(spark, f"{tmp_path}/out")["engagement_minute"].collect()) == counted
+
+
 def test_dedupe_prune_and_stats(spark):
     log = log_of(spark, [(0, "a", 1, 100), (0, "a", 2, 200), (0, "a", 1, 5000), (1, "b", 3, 5000)])
     first = dedupe.first_by_log_order(log)
