@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 from functools import reduce
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewake.functions.columns import resume_cursor, salted_hash
 from tidewake.operators import core, dedupe, normalize, verify
-from tidewake.plans import checkpoint, marts, versions
+from tidewake.plans import checkpoint, ingest, marts, versions
 from tidewake.schema import EVENT_COLUMNS, LogicConfig
 from tidewake.sources import archive, codec, eventlog
 from tidewake.sources.scratch import shared_folder
@@ -87,6 +88,69 @@ def _stream_fenced(s, d):
     raise AssertionError("a run without a claim wrote")
 
 
+def _ingested(s, d):
+    """The raw feed in three files through the ingester."""
+    root, feed = shared_folder(s, "ingest"), _raw(s, d).select(F.col("raw_id").cast("long").alias("seq"), "value")
+    topic = ingest.Topic(f"{root}/log", tempfile.mkdtemp(prefix="topic-"))
+    for part in ("seq < 200", "seq >= 200 and seq < 450", "seq >= 450"):
+        feed.where(part).coalesce(1).write.mode("append").parquet(f"{root}/feed")
+    ingest.start(s, f"{root}/feed", topic, f"{root}/cp", SALT).awaitTermination()
+    return topic
+
+
+def _ingest_state(s, d):
+    x = _ingested(s, d).state()
+    return s.createDataFrame([tuple(x[k] for k in ("partitions", "cursor_us", "messages", "malformed", "produced"))], "partitions int, cursor_us long, messages long, malformed long, produced long")
+
+
+def _handoff(s, d):
+    """A reconnect at a message of the feed whose first replay fails: the rows replayed, and where the cursor was held."""
+    holds, feed, got, calls = checkpoint.Holds(), _feed(s, d), [], []
+    at = feed.where("seq = 50").first().time_us
+
+    def replay(first, last):
+        calls.append(holds.cap(1 << 60))
+        if len(calls) == 1:
+            raise ConnectionError("closed")
+        return eventlog.replay_range(feed, first, last)
+
+    done = ingest.handoff(holds, at, replay, got.append, lambda: None, sleep=lambda _: None)
+    return got[0].agg(F.count("*").alias("n_rows")).select("n_rows", F.lit(calls[0]).alias("held_us"), F.lit(len(calls)).cast("long").alias("attempts"), F.lit(done and not holds.pending).alias("released"))
+
+
+def _health(s, d):
+    """Samples made from the days of the log."""
+    n = F.count("*")
+    samples = _log(s, d).groupBy(F.expr("time_us div 86400000000").alias("day")).agg((n * 4).cast("double").alias("ingest_per_s"), (F.count_if(F.expr("kafka_offset % 3 = 0")) * 5).cast("double").alias("consume_per_s"), F.count_if(F.expr("kafka_offset % 50 = 7")).alias("undecodable"), (n * 2).cast("double").alias("lag_s"), (n / 40).alias("disk_used"))
+    return metrics.health(samples).select("day", F.array_join("alerts", "; ").alias("alerts"))
+
+
+def _written_log(s, d):
+    root = shared_folder(s, "log")
+    eventlog.write_log(_log(s, d), root)
+    return eventlog.read_log(s, root)
+
+
+def _report(s, d):
+    """The report of the log's partitions, written and read back."""
+    path = tempfile.mkdtemp(prefix="report-") + "/report.json"
+    archive.write_report(path, {str(r.kafka_partition): r.end_offset for r in eventlog.end_offsets(_log(s, d)).collect()})
+    with open(path) as f:
+        return s.createDataFrame([(int(k), v) for k, v in json.load(f).items()], "kafka_partition int, end_offset long")
+
+
+def _registry(s, d):
+    """A schema registered twice, extended, then changed in a way that must be refused."""
+    r = codec.Registry(tempfile.mkdtemp(prefix="registry-") + "/r.json")
+    v1 = {1: ("event_id", "string"), 3: ("time_us", "int64")}
+    ids = [r.register("t", v1), r.register("t", v1), r.register("t", v1 | {7: ("subject_account_id", "string")})]
+    try:
+        r.register("t", v1 | {3: ("time_us", "string")})
+    except ValueError:
+        ids.append(-1)
+    return s.createDataFrame(list(enumerate(ids)), "step int, schema_id int")
+
+
 def _codec(s, d):
     framed = codec.encode_log(_log(s, d), 7, json_share=5)
     return codec.decode_log(framed.select("kafka_partition", "kafka_offset", "value")).select("kafka_partition", "kafka_offset", "decoded.*")
@@ -208,6 +272,14 @@ QUERIES = {
     "codec_roundtrip": _codec,
     "stream_minutes": lambda s, d: _stream(s, d)["engagement_minute"],
     "stream_sessions": lambda s, d: _stream(s, d)["sessions"],
+    "ingest_log": lambda s, d: _ingested(s, d).log(s),
+    "ingest_state": _ingest_state,
+    "handoff": _handoff,
+    "health": _health,
+    "written_log": _written_log,
+    "archive_paths": lambda s, d: archive.range_paths(_log(s, d), "t"),
+    "report": _report,
+    "registry": _registry,
     "stream_fenced": lambda s, d: _stream_fenced(s, d)["engagement_minute"],
     "stream_offsets": lambda s, d: _stream_fenced(s, d)["partition_state"],
 }
@@ -293,6 +365,11 @@ _CHECKS = {
     "funnel_steps": "cohorts where posted_within_7d > signups or received_engagement_within_7d > signups or returned_day_1 > signups or coalesce(returned_day_7, 0) > signups",
 }
 
+_NORMAL = f"""select raw_id, case when reject_reason is null then case when kind = 'commit' then {_h("'commit'", "did", "collection", "rkey", "rev", "operation")} else {_h("kind", "did", "cast(time_us as varchar)")} end end as event_id,
+ case when reject_reason is null then {_h("'account'", "did")} end as account_id, case when reject_reason is null then time_us end as time_us, case when reject_reason is null then kind end as kind,
+ case when reject_reason is null then case when kind = 'commit' then collection else '' end end as collection, case when reject_reason is null then case when kind = 'commit' then operation else '' end end as operation,
+ case when reject_reason is null then case when kind = 'commit' and subject <> '' then {_h("'account'", "subject")} else '' end end as subject_account_id, reject_reason from v"""
+
 ORACLE = {
     "event_log": _q(_BASE, "select * from log"),
     "scan_from": _q(_BASE, "select * from log where kafka_offset >= if(kafka_partition < 5, 100 * kafka_partition, 0)"),
@@ -341,10 +418,7 @@ select kafka_partition, cast(sum(z.r) as bigint) as events from f group by 1 hav
     "late_reconciliation": _q(_CORE, """select minute_us, ref_n, cast(coalesce(test_n, 0) as bigint) as test_n, coalesce(late_n, 0) as late_n from (select time_us // 60000000 * 60000000 minute_us, count(*) ref_n from uniq group by 1)
  left join (select minute_us, sum(events) test_n from engagement_minute group by 1) using (minute_us) left join (select minute_us, events late_n from late_minute) using (minute_us)"""),
     "hash_ids": _q(_BASE, f"select kafka_partition, kafka_offset, {_h(chr(39) + 'commit' + chr(39), 'event_id', 'operation')} as event_hash, {_h(chr(39) + 'account' + chr(39), 'account_id')} as account_hash from log"),
-    "normalize_events": _q(_BASE + _RAW + _REJECTS, f"""select raw_id, case when reject_reason is null then case when kind = 'commit' then {_h("'commit'", "did", "collection", "rkey", "rev", "operation")} else {_h("kind", "did", "cast(time_us as varchar)")} end end as event_id,
- case when reject_reason is null then {_h("'account'", "did")} end as account_id, case when reject_reason is null then time_us end as time_us, case when reject_reason is null then kind end as kind,
- case when reject_reason is null then case when kind = 'commit' then collection else '' end end as collection, case when reject_reason is null then case when kind = 'commit' then operation else '' end end as operation,
- case when reject_reason is null then case when kind = 'commit' and subject <> '' then {_h("'account'", "subject")} else '' end end as subject_account_id, reject_reason from v"""),
+    "normalize_events": _q(_BASE + _RAW + _REJECTS, _NORMAL),
     "subject_accounts": _q(_BASE + _RAW, "select raw_id, coalesce(subject, '') as subject from subjects"),
     "resume_cursor": _q(_BASE, "select kafka_partition, max(time_us) - 5000000 as cursor_us, cast(case when kafka_partition <= 0 then 0 else 1 end as bigint) as early_us from log group by 1"),
     "checkpoint_cap": _q(_BASE, "select kafka_partition, least(max(time_us), min(time_us) + 7) as cap_us, max(time_us) as free_us from log group by 1"),
@@ -352,6 +426,14 @@ select kafka_partition, cast(sum(z.r) as bigint) as events from f group by 1 hav
     "codec_roundtrip": _q(_BASE, "select kafka_partition, kafka_offset, event_id, account_id, time_us, kind, collection, operation, subject_account_id, case when kafka_offset % 5 = 0 then 'json' else 'protobuf' end as format, cast(case when kafka_offset % 5 = 0 then 0 else 7 end as int) as schema_id, cast(null as varchar) as error from log"),
     "stream_minutes": _q(_CORE, "select * from engagement_minute"),
     "stream_sessions": _q(_CORE, "select * from sessions"),
+    "ingest_log": _q(_BASE + _RAW + _REJECTS + ", norm as (" + _NORMAL + "), dealt as (select *, cast(cast('0x' || substr(account_id, 1, 8) as bigint) % 6 as int) kafka_partition from norm where reject_reason is null)\n", "select * exclude (raw_id, reject_reason), row_number() over (partition by kafka_partition order by cast(raw_id as bigint)) - 1 as kafka_offset from dealt"),
+    "ingest_state": _q(_BASE + _RAW + _REJECTS, "select 6 as partitions, max(time_us) filter (where reject_reason is null) as cursor_us, count(*) as messages, count(reject_reason) as malformed, count(*) - count(reject_reason) as produced from v"),
+    "handoff": _q(_BASE + _FEED + ", spot as (select time_us t from feed where seq = 50)\n", "select (select count(*) from feed where time_us >= t - 5000000 and seq < coalesce((select min(seq) from feed where time_us > t + 5000000 and time_us >= t - 5000000), 1 << 60)) as n_rows, t - 5000000 as held_us, 2::bigint as attempts, true as released from spot"),
+    "health": _q(_BASE + ", days_of as (select time_us // 86400000000 as day, count(*) n, count(*) filter (where kafka_offset % 3 = 0) c, count(*) filter (where kafka_offset % 50 = 7) u from log group by 1)\n", "select day, concat_ws('; ', if(n * 4 < 100, 'ingest below 100/s', null), if(c * 5 < n * 2, 'consume below half of ingest', null), if(n * 2 > 60, 'lag above 60 s', null), if(u > 0, 'undecodable records', null), if(n > 32, 'disk above 80 %', null)) as alerts from days_of"),
+    "written_log": _q(_BASE, "select * from log"),
+    "archive_paths": _q(_BASE, "select kafka_partition, min(kafka_offset) as first_offset, max(kafka_offset) as last_offset, 'topic=t/date=' || strftime(date '1970-01-01' + cast(min_by(time_us, kafka_offset) // 86400000000 as int), '%Y-%m-%d') || '/part-' || kafka_partition || '-' || lpad(cast(min(kafka_offset) as varchar), 12, '0') || '-' || lpad(cast(max(kafka_offset) as varchar), 12, '0') || '.parquet' as path from log group by kafka_partition, kafka_offset // 200000"),
+    "report": _q(_BASE, "select kafka_partition, count(*) as end_offset from log group by 1"),
+    "registry": "select * from (values (0, 1), (1, 1), (2, 2), (3, -1)) t(step, schema_id)",
     "stream_fenced": _q(_CORE, "select * from engagement_minute"),
     "stream_offsets": _q(_CORE, "select kafka_partition, max(kafka_offset) + 1 as next_offset, coalesce((select max(time_us) from ev where ev.kafka_partition = log.kafka_partition and not late), 0) as watermark_us from log group by 1"),
 }

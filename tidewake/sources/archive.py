@@ -21,6 +21,14 @@ def range_path(topic: str, partition: int, first: int, last: int, first_time_us:
     return f"topic={topic}/date={day}/part-{partition}-{first:012d}-{last:012d}.parquet"
 
 
+def range_paths(log: DataFrame, topic: str) -> DataFrame:
+    """K2: one row per range of FLUSH_ROWS offsets of a partition, with the path of its file."""
+    ranges = log.groupBy("kafka_partition", F.expr(f"kafka_offset div {FLUSH_ROWS}")).agg(F.min("kafka_offset").alias("first_offset"), F.max("kafka_offset").alias("last_offset"), F.min_by("time_us", "kafka_offset").alias("first_us"))
+    day = F.date_format(event_at("first_us"), "yyyy-MM-dd")
+    path = F.format_string("topic=%s/date=%s/part-%d-%012d-%012d.parquet", F.lit(topic), day, "kafka_partition", "first_offset", "last_offset")
+    return ranges.select("kafka_partition", "first_offset", "last_offset", path.alias("path"))
+
+
 def write_archive(log: DataFrame, root: str, topic: str) -> None:
     """K1: zstd Parquet under topic=/date=, sorted by offset.
 
