@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidewake.llm import common, decontamination, line_dedup, ngram_join, packing, queries, suffix_dedup, token_codec, toxicity, url_filter
+from tidewake.llm import common, decontamination, line_dedup, ngram_join, packing, queries, suffix_dedup, token_codec, toxicity, url_filter, windows
 from tidewake.llm.embedding_join import embedding_join
 from tidewake.llm.substring_dedup import substring_dedup
 from tidewake.llm.tokens import rank_encoder, word_encoder
@@ -111,6 +111,34 @@ def test_passage_first_in_a_text_whose_copy_is_beside_the_sharer(spark, run):
     assert kept[1] == first and kept[100] == "" and kept[101].strip() == sentence(203, 20)
 
 
+@pytest.mark.parametrize(("run", "n", "cut"), [(substring_dedup, 13, split), (suffix_dedup.suffix_dedup, 50, str.encode)])
+def test_blocks_that_come_back_do_not_grow_with_the_tasks_that_ask(spark, monkeypatch, run, n, cut):
+    passage = sentence(210, 40)
+    rows = [(10 * i + k, f"{sentence(1000 + 10 * i + k, 8)} {passage}") for i in range(24) for k in range(10)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 24), "doc_id long, text string")
+    frames, whole = [], windows.exchange
+    monkeypatch.setattr(windows, "exchange", lambda *a, **k: frames.append(whole(*a, **k)) or frames[-1])
+    want = {d: sum(g) for d, g in removed({d: cut(t) for d, t in rows}, n).items()}
+    assert {r.doc_id: r.n_removed for r in run(df).collect()} == want and all(want[d] > 0 for d in want if d)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    settled = [f.count() for f in frames if f.columns == ["bucket", "kind", "payload"]]
+    assert settled and max(settled) <= buckets * buckets
+
+
+def test_results_come_back_to_partitions_that_exist():
+    rng = np.random.default_rng(7)
+    docs = rng.integers(-(2**63), 2**63 - 1, 5000)
+    for buckets in (1, 2, 51, 211, 256, 257, 600, 1023, 1024, 1025, 3000):
+        least, kept = windows.back(buckets), {}
+        for asking in (False, True):
+            for bucket, kind, payload in windows.result_blocks([(docs[:3000], np.arange(3000)), (docs[3000:], np.arange(3000, 5000))], buckets, asking):
+                assert kind == windows.KNOWN and 0 <= bucket < (buckets if asking else least)
+                d, pos = windows.unpack(payload, np.int64, np.uint32)
+                assert (docs[pos] == d).all()
+                kept.setdefault(asking, []).extend(pos.tolist())
+        assert sorted(kept[False]) == sorted(kept[True]) == list(range(5000))
+
+
 @pytest.mark.parametrize("kind", [np.uint8, np.uint16])
 @pytest.mark.parametrize("depth", [3, 8, 13])
 def test_merged_transforms_give_the_suffix_order(kind, depth):

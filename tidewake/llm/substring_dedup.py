@@ -6,7 +6,6 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,18 +59,19 @@ def repeated_windows(docs: DataFrame, copies: DataFrame, n: int, lower: bool = F
             yield C.windows_of(el.e, n, seed)[w], (C.windows_of(el.e, n, seed + 1)[w] >> U64(32)).astype(np.uint32), ids[d], (w - el.first[d]).astype(np.uint32)
 
     def ask(batches):
+        found = []
         for h, g, d, pos in W.gather(entries(batches)):
             h, g, d, pos, later = _judged(h, g, d, pos)
-            rows = list(W.range_blocks(*W.to_ranges(d[later], pos[later]), buckets))
+            found.append(W.to_ranges(d[later], pos[later]))
             h, g, d, pos = h[~later], g[~later], d[~later], pos[~later]
-            rows += W._blocks((h % U64(buckets)).astype(np.int64), W.ASK, lambda r, h=h, g=g, d=d, pos=pos: W.pack(h[r], g[r], d[r], pos[r]))
-            yield W.as_batch(rows, W.BLOCK_ARROW)
+            yield W.as_batch(list(W._blocks((h % U64(buckets)).astype(np.int64), W.ASK, lambda r, h=h, g=g, d=d, pos=pos: W.pack(h[r], g[r], d[r], pos[r]))), W.BLOCK_ARROW)
+        yield W.as_batch(list(W.result_blocks(found, buckets, asking=True)), W.BLOCK_ARROW)
 
     def settle(batches):
-        got = []
+        got, found = [], []
         for what, payload in W.blocks_of(batches):
             if what == W.KNOWN:
-                yield W.as_batch([(TaskContext.get().partitionId(), W.KNOWN, payload)], W.BLOCK_ARROW)
+                found.append(W.unpack(payload, np.int64, np.uint32, np.uint32))
             else:
                 got.append(W.unpack(payload, U64, np.uint32, np.int64, np.uint32))
         if got:
@@ -79,7 +79,8 @@ def repeated_windows(docs: DataFrame, copies: DataFrame, n: int, lower: bool = F
             del got
             for r in W.parts_by_hash(h):
                 _, _, d, pos, later = _judged(h[r], g[r], i[r], p[r])
-                yield W.as_batch(list(W.range_blocks(*W.to_ranges(d[later], pos[later]), buckets)), W.BLOCK_ARROW)
+                found.append(W.to_ranges(d[later], pos[later]))
+        yield W.as_batch(list(W.result_blocks(found, buckets)), W.BLOCK_ARROW)
 
     return W.ranges_gathered(W.exchange(live.mapInArrow(ask, W.BLOCK), settle, W.BLOCK))
 
