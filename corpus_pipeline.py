@@ -34,7 +34,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without runs of lines that earlier rows have; a row that loses all its lines that way goes.
+    """Texts without runs of lines that earlier rows have, by content-defined chunks and the pairs of lines inside distinct ones; a row that loses all its lines that way goes.
 
     Earlier is by doc_id; rows without one, or that share one but not the text, come after all others, by a hash of both. Rows
     with equal doc_id and text count as one place, so they lose the same lines and neither loses any to the other. Null

@@ -396,6 +396,22 @@ def test_line_runs(spark):
         assert (r.n_lines, r.n_removed, r.kept) == (want[r.doc_id] if r.doc_id is not None else (want[0][0], 0, rows[0][1]))
 
 
+def test_line_runs_tells_repeated_chunks_whole(spark, monkeypatch):
+    lines = [sentence(3000 + i, 4) for i in range(60)]
+    rows = [(d, "\n".join([f"only {d}", *lines[d % 5 :], f"last {d}"])) for d in range(20)]
+    # boundaries follow the content, and all neighbours are in exactly one chunk
+    spans = {d: line_dedup.linked_chunks(t.encode().split(b"\n")) for d, t in rows}
+    assert all([k for x, y in s for k in range(x, y - 1)] == list(range(len(rows[d][1].split("\n")) - 1)) for d, s in spans.items())
+    inside = {d: {"\n".join(t.split("\n")[x:y]) for x, y in spans[d]} for d, t in rows}
+    assert min(len(inside[0] & inside[d]) for d in inside) >= 10
+    frames, whole = {}, common.written
+    monkeypatch.setattr(common, "written", lambda df, name: frames.setdefault(name, whole(df, name)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_removed, r.kept) for r in line_dedup.line_runs(df).collect()}
+    assert got == {d: (0, rows[0][1]) if d == 0 else (60 - d % 5, f"only {d}\nlast {d}") for d in got} and len(got) == 20
+    assert frames["chunks"].count() == sum(map(len, spans.values())) and frames["distinct"].count() == len(set().union(*inside.values()))
+
+
 def test_decontaminate(spark):
     item = sentence(50, 40)
     words = item.split()

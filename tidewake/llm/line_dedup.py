@@ -1,10 +1,11 @@
 """Removal of multi-line passages that repeat across a corpus, by content-defined chunks of lines.
 
-``line_runs`` takes every line as a boundary: its chunks are all pairs of neighbouring lines, which overlap, so a run of
-lines is shared exactly if each of its pairs is, and short passages and the edges of long ones are found as well.
-``line_dedup`` takes disjoint chunks, which is less: only what lies whole inside a shared passage is found. A chunk ends after a line where a rolling hash over the last lines' hashes falls on a boundary value, so boundaries
+A chunk ends after a line where a rolling hash over the last lines' hashes falls on a boundary value, so boundaries
 follow the content and shift with it. Chunks of several lines with equal digests are compared byte by byte with the
-first of them, by (doc_id, place), and later ones are removed.
+first of them, by (doc_id, place), and later ones are removed. ``line_dedup`` stops there, so only what lies whole inside
+a shared passage is found. ``line_runs`` lets each chunk reach to the first line of the next, so all neighbours are in one
+chunk, and looks into the chunks that are distinct: their pairs of neighbouring lines are compared in the same way. A
+run of lines is shared exactly if each of its pairs is, so short passages and the edges of long ones are found as well.
 """
 
 from __future__ import annotations
@@ -44,9 +45,9 @@ def _lines(text: str | None) -> list[bytes]:
     return (text or "").encode().split(b"\n") if text else []
 
 
-def pairs_of(lines: list[bytes]) -> list[tuple[int, int]]:
-    """(first line, end line) of all runs of two lines."""
-    return [(i, i + 2) for i in range(len(lines) - 1)]
+def linked_chunks(lines: list[bytes]) -> list[tuple[int, int]]:
+    """(first line, end line) of each chunk with the first line of the next one, so that all neighbours are in exactly one."""
+    return [(x, min(y + 1, len(lines))) for x, y in chunks_of(lines) if x + 1 < len(lines)]
 
 
 def line_dedup(documents: DataFrame, min_lines: int = LINES) -> DataFrame:
@@ -62,14 +63,30 @@ def line_dedup(documents: DataFrame, min_lines: int = LINES) -> DataFrame:
 def line_runs(documents: DataFrame, carry: str | None = None) -> DataFrame:
     """doc_id, n_lines, n_removed, kept: each text without the lines in a run of two or more that earlier places have.
 
-    A line goes if it and a neighbour also follow each other at an earlier place; of a longer run every line does. Lines,
+    A line goes if it and a neighbour also follow each other at an earlier place; of a longer run every line does. Repeated
+    content-defined chunks are told whole, and what is inside of the distinct ones by pairs of neighbours. Lines,
     blank ones too, places, nulls and repeated rows count as in ``line_dedup``. The column named by ``carry`` is passed on.
     """
-    return _without(documents, pairs_of, 2, carry)
+    return _without(documents, linked_chunks, 2, carry, inner=True)
 
 
-def _without(documents: DataFrame, spans_of: Callable[[list[bytes]], list[tuple[int, int]]], min_lines: int, carry: str | None = None) -> DataFrame:
-    """Each text without the spans of at least ``min_lines`` lines that an earlier place has; spans may overlap."""
+def _digest(lines: list[bytes]) -> bytes:
+    return hashlib.blake2b(b"\n".join(lines), digest_size=16).digest()
+
+
+def _repeated(spans: DataFrame) -> DataFrame:
+    """The spans whose digest is at several places, and whether theirs is the first."""
+    place = F.struct("doc_id", "th", "place")
+    first = spans.groupBy("digest").agg(F.min(place).alias("f"), F.max(place).alias("l")).where("f <> l").select("digest", "f")
+    return spans.join(first, "digest").select("doc_id", "th", "place", "n", "digest", (place == F.col("f")).alias("is_first"))
+
+
+def _without(documents: DataFrame, spans_of: Callable[[list[bytes]], list[tuple[int, int]]], min_lines: int, carry: str | None = None, inner: bool = False) -> DataFrame:
+    """Each text without the spans of at least ``min_lines`` lines that an earlier place has; spans may overlap.
+
+    With ``inner``, also without the neighbours in such spans that an earlier place has. Only the first span of each digest
+    is looked into: what a later one holds is at an earlier place whole, and none of it can be first.
+    """
     docs = documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
 
     def cut(batches):
@@ -77,34 +94,33 @@ def _without(documents: DataFrame, spans_of: Callable[[list[bytes]], list[tuple[
             rows = []
             for d, th, t in zip(*[b.column(c).to_pylist() for c in ("doc_id", "th", "text")], strict=True):
                 lines = _lines(t)
-                for i, (x, y) in enumerate(spans_of(lines)):
+                for x, y in spans_of(lines):
                     if y - x >= min_lines:
-                        raw = b"\n".join(lines[x:y])
-                        rows.append((d, th, i, hashlib.blake2b(raw, digest_size=16).digest()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 4, [pa.int64(), pa.int64(), pa.int32(), pa.binary()], strict=True)], names=["doc_id", "th", "place", "digest"])
-
-    chunks = C.written(docs.mapInArrow(cut, "doc_id long, th long, place int, digest binary").distinct(), "chunks")
-    first = chunks.groupBy("digest").agg(F.min(F.struct("doc_id", "th", "place")).alias("f"), F.count("*").alias("n")).where("n > 1").select("digest", "f")
-    repeated = C.written(chunks.join(first, "digest").select("doc_id", "th", "place", "digest", (F.struct("doc_id", "th", "place") == F.col("f")).alias("is_first")), "repeated")
-    wanted = repeated.groupBy("doc_id", "th").agg(F.collect_list(F.struct("place", "digest", "is_first")).alias("want"))
+                        rows.append((d, th, x, y - x, _digest(lines[x:y]), [_digest(lines[k : k + 2]) for k in range(x, y - 1)] if inner else None))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 6, [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.binary())], strict=True)], names=["doc_id", "th", "place", "n", "digest", "pairs"])
+
+    # rows that repeat a doc_id and text give equal places, of which none is later than the other
+    chunks = C.written(docs.mapInArrow(cut, "doc_id long, th long, place int, n int, digest binary, pairs array<binary>"), "chunks")
+    repeated = _repeated(chunks.drop("pairs"))
+    if inner:
+        distinct = C.written(chunks.groupBy("digest").agg(F.min(F.struct("doc_id", "th", "place", "pairs")).alias("f")).select("f.*"), "distinct")
+        pairs = distinct.select("doc_id", "th", "place", F.posexplode("pairs").alias("k", "digest")).select("doc_id", "th", (F.col("place") + F.col("k")).alias("place"), F.lit(2).alias("n"), "digest")
+        repeated = repeated.unionByName(_repeated(pairs))
+    wanted = C.written(repeated, "repeated").groupBy("doc_id", "th").agg(F.collect_set(F.struct("place", "n", "digest", "is_first")).alias("want"))
 
     def fetch(batches):
         for b in C.units(batches):
             rows = []
             for d, th, t, want in zip(*[b.column(c).to_pylist() for c in ("doc_id", "th", "text", "want")], strict=True):
                 lines = _lines(t)
-                spans = spans_of(lines)
-                for w in want:
-                    if w["place"] < len(spans):
-                        x, y = spans[w["place"]]
-                        rows.append((d, th, w["place"], w["digest"], w["is_first"], b"\n".join(lines[x:y])))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 6, [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_(), pa.binary()], strict=True)], names=["doc_id", "th", "place", "digest", "is_first", "raw"])
+                rows += [(d, th, w["place"], w["n"], w["digest"], w["is_first"], b"\n".join(lines[w["place"] : w["place"] + w["n"]])) for w in want if w["place"] + w["n"] <= len(lines)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 7, [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_(), pa.binary()], strict=True)], names=["doc_id", "th", "place", "n", "digest", "is_first", "raw"])
 
     # the text side is always shuffled, so the plan at any size is the plan at large sizes
-    texts = C.written(docs.hint("merge").join(wanted, ["doc_id", "th"]).mapInArrow(fetch, "doc_id long, th long, place int, digest binary, is_first boolean, raw binary"), "bytes")
+    texts = C.written(docs.hint("merge").join(wanted, ["doc_id", "th"]).mapInArrow(fetch, "doc_id long, th long, place int, n int, digest binary, is_first boolean, raw binary"), "bytes")
     one = texts.where("is_first").groupBy("digest").agg(F.min("raw").alias("first_raw"))
     later = texts.where("not is_first").join(one, "digest").where(F.col("raw") == F.col("first_raw"))
-    gone = later.groupBy("doc_id", "th").agg(F.collect_set("place").alias("gone"))
+    gone = later.groupBy("doc_id", "th").agg(F.collect_set(F.struct("place", "n")).alias("gone"))
 
     def finish(batches):
         for b in C.units(batches):
@@ -114,8 +130,7 @@ def _without(documents: DataFrame, spans_of: Callable[[list[bytes]], list[tuple[
                 if not places:
                     rows.append((d, len(lines), 0, t))
                     continue
-                spans = spans_of(lines)
-                drop = {k for i in places for k in range(*spans[i])}
+                drop = {k for p in places for k in range(p["place"], p["place"] + p["n"])}
                 kept = [x for k, x in enumerate(lines) if k not in drop]
                 rows.append((d, len(lines), len(lines) - len(kept), b"\n".join(kept).decode()))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), [pa.int64(), pa.int64(), pa.int64(), pa.string()], strict=True)], names=["doc_id", "n_lines", "n_removed", "kept"])
