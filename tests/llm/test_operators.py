@@ -517,6 +517,28 @@ def test_toxicity_on_held_out_labels(spark):
     assert hit.get((0, 1), 0) <= 0.01 * hit[0, 0] and hit[1, 1] >= 0.9 * (hit[1, 1] + hit.get((1, 0), 0)), hit
 
 
+def test_toxicity_is_not_learnt_on_the_driver(spark, monkeypatch):
+    documents, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    sample = sorted((r.toxic, r.doc_id, r.text) for r in toxicity.training_sample(documents, labels).collect())
+    want = toxicity.fit([r[2] for r in sample], np.array([r[0] for r in sample]))
+
+    def refuse(*_):
+        raise AssertionError("learnt on the driver")
+
+    monkeypatch.setattr(toxicity, "fit", refuse)
+    got = toxicity.learnt(documents, labels)
+    assert all(np.array_equal(getattr(got, k), getattr(want, k)) for k in ("weights", "start", "step", "document"))
+    assert toxicity.toxicity(documents, labels).count() == documents.count()
+
+
+def test_pipeline_reads_a_store_that_only_spark_reaches(spark):
+    import corpus_pipeline
+
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.store.link./in", "file:///root/testdata/sf0.001")
+    docs = spark.read.parquet("viewfs://store/in/documents.parquet")
+    assert corpus_pipeline.drop_toxic(spark, docs, "viewfs://store/in").count() == corpus_pipeline.drop_toxic(spark, docs, "/root/testdata/sf0.001").count()
+
+
 def test_toxicity_of_odd_rows(docs, empty, spark):
     labels = spark.createDataFrame([(0, 0, 0), (None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
     rows = toxicity.toxicity(docs, labels).collect()

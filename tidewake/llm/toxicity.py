@@ -202,20 +202,36 @@ def held_out(doc_id) -> F.Column:
     return F.crc32(doc_id.cast("string")) % 3 == 1
 
 
-def training_sample(documents: DataFrame, labels: DataFrame, size: tuple[int, int] = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """At most ``size`` whole texts of the clean and the toxic class, the first by a hash of doc_id, among rows that are not held out and no longer than LONGEST.
+def training_sample(documents: DataFrame, labels: DataFrame, size: tuple[int, int] = SAMPLE) -> DataFrame:
+    """doc_id, text, toxic: at most ``size`` whole texts of the clean and the toxic class, the first by a hash of doc_id, among rows that are not held out and no longer than LONGEST.
 
-    A doc_id gives one text, whatever the rows that have it, so what reaches the driver is bounded.
+    A doc_id gives one text, whatever the rows that have it, so the sample is bounded.
     """
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.length("text") <= LONGEST)
     usable = known.join(texts.select("doc_id"), "doc_id", "left_semi")
-    rows = []
-    for c in (0, 1):
-        ids = usable.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size[c])
-        # the limit bounds what is broadcast
-        rows += texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic")).orderBy("doc_id").collect()
-    return [r.text for r in rows], np.array([r.toxic for r in rows], np.int64)
+    ids = [usable.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size[c]) for c in (0, 1)]
+    # the limits bound what is broadcast
+    return texts.join(F.broadcast(ids[0].unionByName(ids[1])), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic"))
+
+
+def _learn(batches):
+    """The field of a whole sample, as its slots with a weight, these weights and the other numbers."""
+    rows = sorted((toxic, doc_id, text) for b in batches for toxic, doc_id, text in zip(*(b.column(c).to_pylist() for c in ("toxic", "doc_id", "text")), strict=True))
+    f = fit([r[2] for r in rows], np.array([r[0] for r in rows], np.int64))
+    slots = np.flatnonzero(f.weights)
+    parts = (slots.astype("<i4"), f.weights[slots].astype("<f4"), np.concatenate((f.start, f.step.ravel(), f.document)).astype("<f8"))
+    yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in parts], names=["slots", "weights", "rest"])
+
+
+def learnt(documents: DataFrame, labels: DataFrame) -> Field:
+    """The field of the training sample, learnt by one task: the driver gets neither the texts nor what learning holds, only the weights."""
+    got = training_sample(documents, labels).coalesce(1).mapInArrow(_learn, "slots binary, weights binary, rest binary").collect()
+    if not got:  # no partition at all
+        return fit([], np.zeros(0, np.int64))
+    weights, rest = np.zeros(SLOTS, np.float32), np.frombuffer(got[0].rest, "<f8")
+    weights[np.frombuffer(got[0].slots, "<i4")] = np.frombuffer(got[0].weights, "<f4")
+    return Field(weights, rest[:2], rest[2:6].reshape(2, 2), rest[6:])
 
 
 def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, field: Field | None = None, carry: bool = False) -> DataFrame:
@@ -225,7 +241,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
     and not held out; repeated rows get the same score; without labels of both classes nothing is toxic. Extra columns are ignored, unless ``carry`` asks for each whole
     input row in a struct ``row``.
     """
-    f = field or fit(*training_sample(documents, labels))
+    f = field or learnt(documents, labels)
     shared = documents.sparkSession.sparkContext.broadcast(f)  # SLOTS weights, whatever the input
 
     def run(batches):
