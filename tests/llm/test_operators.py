@@ -278,6 +278,43 @@ def test_codec_needs_fewer_bits_than_the_frequencies_of_the_ids(spark):
     assert 8 * (len(head) + 8 * len(used) + words.nbytes) < -(p * np.log2(p)).sum() * len(ids)
 
 
+def test_frequent_words_are_coded_as_one_symbol():
+    rng = np.random.default_rng(3)
+    for top in (60_000, 2**32 - 1):
+        sizes = np.array([0, 1, 2, 3, 7, 255, 256, *rng.integers(1, 6, 500)])
+        off = np.concatenate(([0], np.cumsum(sizes)))
+        flat = rng.integers(0, top, off[-1], endpoint=True).astype(np.uint32)
+        flat[0] = top
+        numbers = np.concatenate((np.arange(len(sizes)), np.minimum(rng.zipf(1.2, 20_000), len(sizes) - 1))).astype(np.int32)
+        ids = np.concatenate([flat[off[i] : off[i + 1]] for i in numbers])
+        head, used, crc, words = token_codec.encode_blocks(ids, (numbers, flat, off))
+        assert np.array_equal(token_codec.decode_blocks(len(ids), head, used, crc, words), ids)
+        if top == 60_000:
+            assert len(used) < len(token_codec.encode_blocks(ids)[1]) / 1.5
+            with pytest.raises(ValueError, match="checksum"):
+                token_codec.decode_blocks(len(ids), head, used, crc, words ^ np.uint32(1 << 30))
+
+
+def test_new_words_are_made_of_known_pieces_and_forgotten_words_come_back():
+    from tidewake.llm.tokens import WordEncoder
+
+    enc = WordEncoder(public_tokenizers.path("word_bpe_49k.json"), limit=20)
+    whole = enc.tokenizer
+    enc.encode(["tree house 's ,"])
+
+    class Refuse:
+        def encode_batch_fast(self, *_, **__):
+            raise AssertionError("known pieces")
+
+    enc.tokenizer = Refuse()
+    assert np.frombuffer(enc.encode(["Tree, HOUSE,tree's"])[0], "<u4").tolist() == whole.encode("Tree, HOUSE,tree's", add_special_tokens=False).ids
+    enc.tokenizer = whole
+    for i in range(30):
+        x = " ".join(f"w{i}{j} x{j}, Ñandú{j} \u00a0y{j}" for j in range(9))
+        assert np.frombuffer(enc.encode([x])[0], "<u4").tolist() == whole.encode(x, add_special_tokens=False).ids
+    assert len(enc.coded) < 100 and len(enc.coded) == len(enc.number)
+
+
 def test_rank_file_gives_the_ids_of_the_tokenizer():
     from tokenizers import Tokenizer
 

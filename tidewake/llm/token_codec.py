@@ -1,7 +1,8 @@
 """Token ids as range-coded blocks under an adaptive mix of order-0, order-1 and order-2 predictions.
 
-A block holds up to BLOCK ids, is coded from a reset model and carries a checksum of its ids, so any block of a chunk
-decodes alone. Order 2 and order 1 predict the id that last followed the last two ids or the last id, each with a count
+Words of several ids that a chunk has OFTEN are symbols of their own, whose ids stand in the chunk's head; other ids are
+their own symbols. Below, id means such a symbol. A block holds up to BLOCK of them, is coded from a reset model and
+carries a checksum of the ids proper, so any block of a chunk decodes alone. Order 2 and order 1 predict the id that last followed the last two ids or the last id, each with a count
 of how often it was right. Order 0 predicts from frequencies: a chunk's ids are sorted by their counts and cut into
 CLASSES classes of about equal weight; how likely a class is adapts within the block, the counts of the chunk (in its
 head) tell its ids apart. So each id is one of SYMBOLS outcomes (right by order 2, right by order 1, or its class), and
@@ -16,6 +17,7 @@ checksums and words. Ids are any unsigned 32-bit integers.
 from __future__ import annotations
 
 import zlib
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -33,8 +35,10 @@ BLOCK = 2048
 CHUNK = 6 << 20
 #: Most blocks that are coded in step; a chunk has about as many, more where its last document is long.
 LANES = 2048
-MAGIC = b"TWCM0003"
+MAGIC = b"TWCM0004"
 CLASSES, SYMBOLS = 13, 15
+#: A word of several ids is a symbol of its own if a chunk has it so often, and this many ids at most.
+OFTEN, LONGEST = 3, 255
 #: Slots of order 1 and order 2 in a block.
 _T1, _T2 = 512, 1024
 #: Probabilities of outcomes are parts of 2 ** _BITS (the last part is not used, so that weighted bounds fit 16 bits); a distribution moves by a part of 2 ** _FAST or 2 ** _SLOW.
@@ -192,15 +196,62 @@ def _groups(n: int) -> list[tuple[int, int]]:
     return [(x, min(x + LANES, n)) for x in range(0, n, LANES)]
 
 
-def encode_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
-    """(id frequencies, words per block, checksum per block, all 32-bit words)."""
+def _laid(numbers: np.ndarray, flat: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """The entries off[i] to off[i + 1] of flat, for each i of numbers in a row."""
+    n = (off[1:] - off[:-1])[numbers]
+    at = np.arange(int(n.sum()))
+    at += np.repeat(off[numbers] - (np.cumsum(n) - n), n)
+    return flat[at]
+
+
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+
+
+def encode_blocks(ids: np.ndarray, words: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """(head, words per block, checksum per block, all 32-bit words).
+
+    ``words`` may tell of which words the ids are made: their numbers in a row, the ids of all numbers and where those of
+    each number begin. Words that are frequent here become symbols.
+    """
     ids = ids.astype(np.uint32)
-    sizes = _lanes(len(ids))
-    crc = np.array([zlib.crc32(ids[i * BLOCK : i * BLOCK + n].astype("<u4").tobytes()) for i, n in enumerate(sizes)], np.uint32)
-    freq, rank = Frequencies.of(ids)
-    parts = [_encode(rank[x * BLOCK : y * BLOCK], sizes[x:y], freq) for x, y in _groups(len(sizes))]
-    used, words = zip(*parts, strict=True) if parts else ([], [])
-    return freq.tobytes(), np.concatenate([np.zeros(0, np.uint32), *used]), crc, np.concatenate([np.zeros(0, np.uint32), *words])
+    symbols, sizes, phrases, base = ids, None, np.zeros(0, np.int64), 0
+    if words is not None and len(ids):
+        numbers, flat, off = words
+        size = off[1:] - off[:-1]
+        count = np.bincount(numbers, minlength=len(size))
+        phrases = np.flatnonzero((count >= OFTEN) & (size > 1) & (size <= LONGEST))
+        phrases = phrases[np.argsort(-count[phrases], kind="stable")]
+        base = int(ids.max()) + 1
+        if base + len(phrases) > 2**32:
+            phrases = phrases[:0]
+    if len(phrases):
+        own = size.copy()
+        own[phrases] = 1
+        own_off = _offsets(own)
+        keep = np.ones(len(size), bool)
+        keep[phrases] = False
+        own_flat = np.empty(int(own_off[-1]), np.uint32)
+        own_flat[np.repeat(keep, own)] = flat[np.repeat(keep, size)]
+        own_flat[own_off[phrases]] = np.arange(base, base + len(phrases), dtype=np.int64)
+        symbols = _laid(numbers, own_flat, own_off)
+        sizes = np.concatenate((np.ones(1, np.int64), size[phrases]))[np.maximum(symbols.astype(np.int64) - (base - 1), 0)]
+    lanes = _lanes(len(symbols))
+    ends = np.cumsum(lanes)
+    at = _offsets(lanes) if sizes is None else _offsets(sizes)[np.concatenate(([0], ends))]
+    freq, rank = Frequencies.of(symbols)
+    parts = [_encode(rank[x * BLOCK : y * BLOCK], lanes[x:y], freq) for x, y in _groups(len(lanes))]
+    used, coded = zip(*parts, strict=True) if parts else ([], [])
+    head = freq.tobytes()
+    told = pack(size[phrases].astype(np.uint8), _laid(phrases, flat, off).astype(np.uint32)) if len(phrases) else b""
+    head = np.array([len(symbols), base, len(head)], "<i8").tobytes() + head + told
+    return head, np.concatenate([np.zeros(0, np.uint32), *used]), _sums(ids, at), np.concatenate([np.zeros(0, np.uint32), *coded])
+
+
+def _sums(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Checksums of the ids between the places ``at``."""
+    raw = memoryview(ids.astype("<u4").tobytes())
+    return np.array([zlib.crc32(raw[4 * x : 4 * y]) for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], np.uint32)
 
 
 def _encode(rank: np.ndarray, sizes: np.ndarray, freq: Frequencies) -> tuple[np.ndarray, np.ndarray]:
@@ -268,14 +319,29 @@ def _encode(rank: np.ndarray, sizes: np.ndarray, freq: Frequencies) -> tuple[np.
 
 def decode_blocks(n: int, head: bytes, used: np.ndarray, crc: np.ndarray, words: np.ndarray) -> np.ndarray:
     """The ids; ValueError if a block's checksum does not hold."""
-    sizes = _lanes(n)
-    freq = Frequencies.frombytes(head)
-    at = np.concatenate(([0], np.cumsum(used.astype(np.int64))))
+    m, base, h = np.frombuffer(head, "<i8", 3).tolist()
+    sizes = _lanes(m)
+    freq = Frequencies.frombytes(head[24 : 24 + h])
+    at = _offsets(used)
     parts = [_decode(sizes[x:y], at[x:y] - at[x], words[at[x] : at[y]], freq) for x, y in _groups(len(sizes))]
-    ids = freq.ids.take(np.concatenate([np.zeros(0, np.int32), *parts]), mode="clip") if n else np.zeros(0, np.uint32)
-    for i, size in enumerate(sizes):
-        if zlib.crc32(ids[i * BLOCK : i * BLOCK + size].astype("<u4").tobytes()) != crc[i]:
-            raise ValueError(f"block {i}: checksum does not hold")
+    rank = np.concatenate([np.zeros(0, np.int32), *parts])
+    edges = _offsets(sizes)
+    if len(head) > 24 + h:
+        length, told = unpack(head[24 + h :], np.uint8, np.uint32)
+        one = freq.ids < base
+        phrase = np.where(one, 0, freq.ids.astype(np.int64) - base)
+        size = np.where(one, 1, length.astype(np.int64)[phrase])
+        off = _offsets(size)
+        flat = np.empty(int(off[-1]), np.uint32)
+        flat[off[:-1][one]] = freq.ids[one]
+        flat[np.repeat(~one, size)] = _laid(phrase[~one], told, _offsets(length))
+        edges = _offsets(size[rank])[edges]
+        ids = _laid(rank, flat, off)
+    else:
+        ids = freq.ids.take(rank, mode="clip") if m else np.zeros(0, np.uint32)
+    bad = np.flatnonzero(_sums(ids, edges) != crc)
+    if len(bad) or len(ids) != n:
+        raise ValueError(f"block {bad[0] if len(bad) else 0}: checksum does not hold")
     return ids
 
 
@@ -332,9 +398,9 @@ def _decode(sizes: np.ndarray, at: np.ndarray, words: np.ndarray, freq: Frequenc
     return flat.ravel()[: int(sizes.sum())]
 
 
-def encode_chunk(docs: np.ndarray, known: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
-    """A chunk of whole documents; ``known`` is false for documents without an id."""
-    freq, used, crc, words = encode_blocks(ids)
+def encode_chunk(docs: np.ndarray, known: np.ndarray, counts: np.ndarray, ids: np.ndarray, made_of: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> bytes:
+    """A chunk of whole documents; ``known`` is false for documents without an id, ``made_of`` tells the words of the ids."""
+    freq, used, crc, words = encode_blocks(ids, made_of)
     head = np.array([len(docs), len(ids), len(used), len(freq)], "<i8").tobytes()
     return MAGIC + head + docs.astype("<i8").tobytes() + known.astype(np.uint8).tobytes() + counts.astype("<i8").tobytes() + freq + used.astype("<u4").tobytes() + crc.astype("<u4").tobytes() + words.astype("<u4").tobytes()
 
@@ -358,24 +424,34 @@ def encode_documents(documents: DataFrame, tokenizer: str, end_id: int, shards:
     def run(batches):
         shard, made, start, total = TaskContext.get().partitionId(), 0, 0, 0
         docs: list = []
-        held: list[bytes] = []
-        end = np.array([end_id], "<u4").tobytes()
+        held: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
         enc = tokens.word_encoder(tokenizer)
+        if len(enc.coded) > enc.limit:  # of earlier tasks
+            enc.forget(np.zeros(0, bool))
+        length = np.zeros(0, np.int64)  # ids of each word
 
         def flush():
-            nonlocal made, start, total, docs, held
-            ids = np.frombuffer(b"".join(held), "<u4")
-            counts = np.array([len(x) // 4 for x in held], np.int64)
-            raw = encode_chunk(np.array([0 if d is None else d for d in docs], np.int64), np.array([d is not None for d in docs]), counts, ids)
+            nonlocal made, start, total, docs, held, sizes, length
+            numbers, words = np.concatenate(held), np.concatenate(sizes)
+            flat, off = np.frombuffer(b"".join(enc.coded), "<u4"), _offsets(length)
+            counts = np.add.reduceat(length[numbers], _offsets(words)[:-1])
+            ids = _laid(numbers, flat, off)
+            raw = encode_chunk(np.array([0 if d is None else d for d in docs], np.int64), np.array([d is not None for d in docs]), counts, ids, (numbers, flat, off))
             row = pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([made], pa.int32()), pa.array([start], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([raw], pa.binary())], names=["shard", "chunk", "start", "n_tokens", "payload"])
-            made, start, total, docs, held = made + 1, start + len(ids), 0, [], []
+            made, start, total, docs, held, sizes = made + 1, start + len(ids), 0, [], [], []
+            if len(enc.coded) > enc.limit:
+                enc.forget(np.bincount(numbers, minlength=len(enc.coded)) > 1)
+                length = np.zeros(0, np.int64)
             return row
 
         for b in C.units(batches):
-            coded = enc.encode([t or "" for t in b.column("text").to_pylist()])
+            numbers, words = enc.numbers([t or "" for t in b.column("text").to_pylist()], end_id)
+            length = np.concatenate((length, np.fromiter(map(len, islice(enc.coded, len(length), None)), np.int64) // 4))
             docs += b.column("doc_id").to_pylist()
-            held += [x + end for x in coded]
-            total += sum(map(len, coded)) // 4 + len(coded)
+            held.append(numbers)
+            sizes.append(words)
+            total += int(length[numbers].sum())
             if total >= CHUNK:
                 yield flush()
         if docs:
