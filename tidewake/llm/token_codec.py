@@ -197,11 +197,15 @@ def _groups(n: int) -> list[tuple[int, int]]:
 
 
 def _laid(numbers: np.ndarray, flat: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """The entries off[i] to off[i + 1] of flat, for each i of numbers in a row."""
-    n = (off[1:] - off[:-1])[numbers]
-    at = np.arange(int(n.sum()))
-    at += np.repeat(off[numbers] - (np.cumsum(n) - n), n)
-    return flat[at]
+    """The entries off[i] to off[i + 1] of flat, for each i of numbers in a row; a part at a time, which bounds what is held besides."""
+    parts = [flat[:0]]
+    for x in range(0, len(numbers), 1 << 17):
+        i = numbers[x : x + (1 << 17)]
+        n = off[i + 1] - off[i]
+        at = np.arange(int(n.sum()))
+        at += np.repeat(off[i] - (np.cumsum(n) - n), n)
+        parts.append(flat[at])
+    return np.concatenate(parts)
 
 
 def _offsets(sizes: np.ndarray) -> np.ndarray:
